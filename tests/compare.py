@@ -1,0 +1,81 @@
+"""Run every registered query next to its SQL: ``python tests/compare.py [folder] [name ...]``."""
+
+from __future__ import annotations
+
+import os
+import sys
+import time
+
+import duckdb
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def database(folder: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for table in TABLES:
+        con.execute(
+            f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{folder}/{table}.parquet')"
+        )
+    return con
+
+
+def _ordered(frame: pd.DataFrame) -> pd.DataFrame:
+    frame = frame[sorted(frame.columns)]
+    return frame.sort_values(list(frame.columns), ignore_index=True)
+
+
+def difference(got: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
+    """What differs between a Spark result and a SQL result, or ``None``."""
+    mine, theirs = _ordered(got.toPandas()), _ordered(con.sql(sql).df())
+    if list(mine.columns) != list(theirs.columns):
+        return f"columns {list(mine.columns)} and {list(theirs.columns)}"
+    if len(mine) != len(theirs):
+        return f"{len(mine)} and {len(theirs)} rows"
+    for name in mine.columns:
+        if mine[name].dtype != theirs[name].dtype:
+            return f"type of {name}: {mine[name].dtype} and {theirs[name].dtype}"
+        unequal = mine[name] != theirs[name]
+        if unequal.any():
+            at = unequal.idxmax()
+            return f"{name}: {mine.loc[at].to_dict()} and {theirs.loc[at].to_dict()}"
+    return None
+
+
+def main() -> None:
+    import __spark_entry__ as entry
+
+    folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    spark = (
+        SparkSession.builder.master("local[8]")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.driver.memory", "12g")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .getOrCreate()
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    con = database(folder)
+    sql = entry.oracle_sql()
+    bad = 0
+    for name, query in entry.queries().items():
+        if sys.argv[2:] and name not in sys.argv[2:]:
+            continue
+        start = time.time()
+        found = difference(query(spark, folder), con, sql[name])
+        bad += found is not None
+        print(f"{name}: {found or 'equal'} ({time.time() - start:.1f} s)", flush=True)
+    print(f"{bad} differ")
+
+
+if __name__ == "__main__":
+    main()
