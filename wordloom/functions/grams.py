@@ -24,8 +24,13 @@ def gram(words: Column, start: Column, n: int) -> Column:
 
 
 def head(words: Column, start: Column) -> Column:
-    """First word of the n-gram at ``start``."""
-    return F.get(words, start - 1)
+    """First word of the n-gram at ``start``, typed as never null.
+
+    A join on a column that may be null adds a null test to one side, which
+    pushed down would run the tokenizer twice and keep the two sides of a
+    self-join from sharing their shuffle.
+    """
+    return F.coalesce(F.get(words, start - 1), F.lit(""))
 
 
 def tail(words: Column, start: Column, n: int) -> Column:

@@ -8,7 +8,7 @@ The stripe of a frequent head grows with the corpus and would at some size
 neither fit a task nor a row. Such a head is laid out over several rows, told
 apart by ``part``; together they hold the whole stripe. The bytes of each stripe
 are summed first, and the tails of a head above the limit are dealt out by a
-hash, so no task ever holds more than about ``part_bytes`` of one head.
+hash, so no task collects more than about the limit for one row.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from wordloom.operators.counts import count_by
 from wordloom.operators.expand import head_tails
 
 PART_BYTES = 8 * 1024 * 1024
-_SALTS = 64
+MAX_LARGE_HEADS = 4_000_000
 
 
 def _hash_part(tail: Column, parts: Column) -> Column:
@@ -31,31 +31,40 @@ def _hash_part(tail: Column, parts: Column) -> Column:
     return F.pmod(digest.cast("bigint"), parts)
 
 
-def with_parts(entries: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
-    """``(head, tail, n, part)``; ``part`` is 0 unless the stripe exceeds ``part_bytes``.
+def with_parts(
+    entries: DataFrame, part_bytes: int = PART_BYTES, max_large_heads: int = MAX_LARGE_HEADS
+) -> DataFrame:
+    """``(head, tail, n, part)``; ``part`` is 0 unless the stripe exceeds the limit.
 
-    Only heads above the limit are joined back. They are few, and adaptive
-    execution broadcasts them when their measured size allows; if not, the join
-    runs on ``(head, salt)``, so that the rows of one hot head spread over many
-    tasks on the other side.
+    The limit is ``part_bytes``, or the bytes of all stripes divided by
+    ``max_large_heads`` where that is more. Fewer than ``max_large_heads`` heads
+    can lie above it, whatever the corpus, and each is one pair of integers: the
+    table of large heads has a fixed upper size and is broadcast, so the counts
+    are not shuffled again to find their parts.
+
+    Heads are matched by a 64-bit hash. Should two share one, their bytes add up
+    and they are split finer than needed; the stripes stay whole.
     """
     at_least("part_bytes", part_bytes, 1)
-    size = F.sum(stripes.entry_bytes(F.col("tail"), F.col("n")))
-    large = (
-        entries.groupBy("head")
-        .agg(size.alias("bytes"))
-        .where(F.col("bytes") > part_bytes)
-        .select("head", F.ceil(F.col("bytes") / part_bytes).alias("parts"))
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    at_least("max_large_heads", max_large_heads, 1)
+    entry_bytes = stripes.entry_bytes(F.col("tail"), F.col("n"))
+    sizes = entries.groupBy(F.xxhash64("head").alias("hash")).agg(
+        F.sum(entry_bytes).alias("bytes")
     )
-    salted = entries.withColumn(
-        "salt", F.pmod(F.xxhash64("tail"), F.lit(_SALTS)).cast("int")
+    all_bytes = sizes.agg(F.sum("bytes")).scalar()
+    limit = F.greatest(F.lit(part_bytes), F.ceil(all_bytes / max_large_heads))
+    large = (
+        sizes.withColumn("limit", limit)
+        .where(F.col("bytes") > F.col("limit"))
+        .select("hash", F.ceil(F.col("bytes") / F.col("limit")).alias("parts"))
     )
     part = F.when(F.col("parts").isNull(), F.lit(0)).otherwise(
         _hash_part(F.col("tail"), F.col("parts"))
     )
-    return salted.join(large, ["head", "salt"], "left").select(
-        "head", "tail", "n", part.cast("bigint").alias("part")
+    return (
+        entries.withColumn("hash", F.xxhash64("head"))
+        .join(F.broadcast(large), "hash", "left")
+        .select("head", "tail", "n", part.cast("bigint").alias("part"))
     )
 
 

@@ -77,7 +77,10 @@ def ngram_stripes(spark, folder, n, part_bytes=stripes.PART_BYTES):
 
 
 def line_stripes(spark, folder):
-    return stripes.line_stripes(_lines(spark, folder, "doc_id"), 2, "doc_id", "line_no")
+    # Not spread: the lines are hashed over all cores before they are expanded.
+    documents = read_table(spark, f"{folder}/documents.parquet", "doc_id", "text")
+    lines = lines_of(documents, "text", "doc_id")
+    return stripes.line_stripes(lines, 2, "doc_id", "line_no")
 
 
 def word_count_by_document(spark, folder):
