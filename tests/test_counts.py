@@ -1,0 +1,143 @@
+import random
+
+import brute
+import pytest
+from pyspark.sql import functions as F
+
+from wordloom.operators import counts, expand, profile, ranking, stripes
+
+EXAMPLE = ["The cat's cat.", "the -- CAT", ""]
+
+
+def pairs(df):
+    rows = [tuple(r) for r in df.collect()]
+    found = dict(rows)
+    assert len(found) == len(rows)
+    return found
+
+
+def random_lines(seed, lines=400, vocabulary=30):
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(vocabulary)] + ["it's", "x-ray", "É"]
+    weights = [1 / (i + 1) for i in range(len(words))]
+    return [" ".join(rng.choices(words, weights, k=rng.randrange(15))) for _ in range(lines)]
+
+
+def test_worked_example(frame):
+    lines = frame(EXAMPLE)
+    assert pairs(counts.word_counts(lines)) == {"cat": 2, "cat's": 1, "the": 2}
+    assert pairs(counts.total_count(lines)) == {"word": 6}
+    assert pairs(counts.pair_counts(lines)) == {"cat's,cat": 1, "the,cat": 1, "the,cat's": 1}
+    assert pairs(counts.ngram_counts(lines, 3)) == {"the,cat's,cat": 1}
+    two = stripes.stripe_texts(counts.head_tail_counts(lines, 2))
+    assert {tuple(r) for r in two.collect()} == {
+        ("cat's", 0, "cat:1"),
+        ("the", 0, "cat:1, cat's:1"),
+    }
+    three = stripes.stripe_texts(counts.head_tail_counts(lines, 3))
+    assert [tuple(r) for r in three.collect()] == [("the", 0, "cat's,cat:1")]
+    totals = profile.corpus_totals(counts.word_counts(lines)).first()
+    assert (totals.words, totals.tokens) == (3, 5)
+    words = counts.word_counts(lines)
+    assert [tuple(r) for r in ranking.most_frequent(words).collect()] == [
+        ("the", 2), ("cat", 2), ("cat's", 1)
+    ]
+    assert [tuple(r) for r in ranking.least_frequent(words).collect()] == [
+        ("cat's", 1), ("cat", 2), ("the", 2)
+    ]
+
+
+@pytest.mark.parametrize("texts", [[], ["", "  "], ["--", "..."], [None]])
+def test_no_token_no_row(frame, texts):
+    lines = frame(texts)
+    assert counts.word_counts(lines).count() == 0
+    assert counts.pair_counts(lines).count() == 0
+    assert stripes.stripe_texts(counts.head_tail_counts(lines, 2)).count() == 0
+    if texts not in (["--", "..."],):
+        assert counts.total_count(lines).count() == 0
+
+
+@pytest.mark.parametrize("n", [2, 3, 5, 10])
+def test_against_brute_force(frame, n):
+    texts = random_lines(n)
+    lines = frame(texts)
+    assert pairs(counts.ngram_counts(lines, n)) == brute.gram_counts(texts, n)
+    expected = {
+        (head, tail): k for head, found in brute.stripe_counts(texts, n).items()
+        for tail, k in found.items()
+    }
+    got = {(r.head, r.tail): r.n for r in counts.head_tail_counts(lines, n).collect()}
+    assert got == expected
+
+
+def test_word_counts_and_splits_agree(frame):
+    texts = random_lines(1)
+    lines = frame(texts).withColumn("split", F.col("id") % 7)
+    expected = brute.word_counts(texts)
+    assert pairs(counts.word_counts(lines)) == expected
+    by_split = counts.word_counts_by_split(lines, "split")
+    assert pairs(counts.merge_splits(by_split, "word")) == expected
+    per_split = {(r.split, r.word): r.n for r in by_split.collect()}
+    for k in range(7):
+        part = brute.word_counts(texts[k::7])
+        assert {w: n for (s, w), n in per_split.items() if s == k} == part
+
+
+def test_short_lines_give_no_window(frame):
+    lines = frame(["a", "a b", "a b c", ""])
+    assert pairs(counts.ngram_counts(lines, 3)) == {"a,b,c": 1}
+    assert counts.ngram_counts(lines, 4).count() == 0
+
+
+def test_positions_and_kept_columns(frame):
+    rows = expand.explode_positions(frame(["b a b"]), "line", "id").orderBy("pos").collect()
+    assert [tuple(r) for r in rows] == [(0, 0, "b"), (0, 1, "a"), (0, 2, "b")]
+    assert expand.ngrams(frame(["b a b"]), 2, "line", "id").columns == ["id", "gram"]
+
+
+@pytest.mark.parametrize("window", [1, 0, -3, 2.0, "3", True, None])
+def test_window_is_checked(frame, window):
+    for build in (counts.ngram_counts, counts.head_tail_counts):
+        with pytest.raises(ValueError):
+            build(frame(["a b"]), window)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3])
+def test_volume_profile(frame, n):
+    texts = random_lines(20 + n) + ["", "one"]
+    lines = frame(texts).withColumn("split", F.col("id") % 5)
+    got = pairs(profile.volume_profile(lines, n, "split"))
+    by_split = [brute.gram_counts(texts[k::5], n) for k in range(5)]
+    merged = brute.gram_counts(texts, n)
+    assert got == {
+        "map_input_records": len(texts),
+        "map_output_records": sum(merged.values()),
+        "combine_output_records": sum(len(c) for c in by_split),
+        "reduce_output_records": len(merged),
+    }
+
+
+def test_volume_of_worked_example(frame):
+    lines = frame(EXAMPLE).withColumn("split", F.lit(1))
+    emitted = [
+        pairs(profile.volume_profile(lines, n, "split"))["map_output_records"] for n in (1, 2, 3)
+    ]
+    assert emitted == [5, 3, 1]
+    assert pairs(profile.volume_profile(lines, 1, "split"))["map_input_records"] == 3
+
+
+def test_stripe_profile(frame):
+    texts = random_lines(5) + ["", "one"]
+    lines = frame(texts).withColumn("split", F.col("id") % 5)
+    heads = [{gram[0] for gram in brute.grams([line], 2)} for line in texts]
+    assert pairs(profile.stripe_profile(lines, 2, "split")) == {
+        "map_input_records": len(texts),
+        "map_output_records": sum(map(len, heads)),
+        "combine_output_records": sum(len(set().union(*heads[k::5])) for k in range(5)),
+        "reduce_output_records": len(set().union(*heads)),
+    }
+
+
+def test_empty_profile(frame):
+    lines = frame([]).withColumn("split", F.lit(1))
+    assert set(pairs(profile.volume_profile(lines, 2, "split")).values()) == {0}

@@ -95,6 +95,10 @@ def volume_profile(spark, folder, n):
     return profile.volume_profile(_lines(spark, folder, "doc_id"), n, "doc_id")
 
 
+def stripe_profile(spark, folder, n):
+    return profile.stripe_profile(_lines(spark, folder, "doc_id"), n, "doc_id")
+
+
 def corpus_totals(spark, folder):
     return profile.corpus_totals(word_count(spark, folder))
 
@@ -166,6 +170,8 @@ def queries() -> dict[str, Query]:
         "word_count_two_level": word_count_two_level,
         "volume_profile": partial(volume_profile, n=1),
         "volume_profile_3": partial(volume_profile, n=3),
+        "stripe_profile": partial(stripe_profile, n=2),
+        "stripe_profile_3": partial(stripe_profile, n=3),
         "tsv_round_trip": tsv_round_trip,
         "run_recap": run_recap,
         "series_means": series_means,

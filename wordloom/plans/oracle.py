@@ -78,16 +78,23 @@ def _stripes(n: int, part_bytes: int = PART_BYTES) -> str:
 
 
 def _profile(n: int) -> str:
-    rows = (
-        f"{_words()}, found AS (SELECT id, word AS gram FROM words)"
-        if n == 1
-        else f"{_grams(n)}, found AS (SELECT id, head || ',' || tail AS gram FROM grams)"
+    if n == 1:
+        return _counters(_words(), "SELECT id, word AS key FROM words")
+    return _counters(_grams(n), "SELECT id, head || ',' || tail AS key FROM grams")
+
+
+def _stripe_profile(n: int) -> str:
+    return _counters(
+        _grams(n), "SELECT id, head AS key FROM (SELECT DISTINCT id, line_no, head FROM grams)"
     )
-    return f"""WITH {rows}
+
+
+def _counters(rows: str, emitted: str) -> str:
+    return f"""WITH {rows}, emitted AS ({emitted})
     SELECT 'map_input_records' AS counter, count(*) AS value FROM lines
-    UNION ALL SELECT 'map_output_records', count(*) FROM found
-    UNION ALL SELECT 'combine_output_records', count(*) FROM (SELECT DISTINCT id, gram FROM found)
-    UNION ALL SELECT 'reduce_output_records', count(DISTINCT gram) FROM found"""
+    UNION ALL SELECT 'map_output_records', count(*) FROM emitted
+    UNION ALL SELECT 'combine_output_records', count(*) FROM (SELECT DISTINCT id, key FROM emitted)
+    UNION ALL SELECT 'reduce_output_records', count(DISTINCT key) FROM emitted"""
 
 
 def _unit(value: str, rounded: str) -> str:
@@ -170,6 +177,8 @@ def oracle_sql() -> dict[str, str]:
             FROM ({by_document}) GROUP BY word""",
         "volume_profile": _profile(1),
         "volume_profile_3": _profile(3),
+        "stripe_profile": _stripe_profile(2),
+        "stripe_profile_3": _stripe_profile(3),
         "tsv_round_trip": words,
         "run_recap": _run_recap(),
         "series_means": _series_means(),
