@@ -1,0 +1,96 @@
+import os
+
+import brute
+import pytest
+from pyspark.errors import PySparkException
+
+from wordloom.operators import recap
+from wordloom.plans.jobs import JOBS, main, run_job
+from wordloom.sources.tsv import read_counts, read_pairs
+
+TEXT = ["The cat's cat.\nthe -- CAT\n\n", "x y z w\r\nThe cat sat\rthe cat's cat"]
+
+
+@pytest.fixture
+def corpus(tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for i, text in enumerate(TEXT):
+        (folder / f"{i}.txt").write_bytes(text.encode())
+    return str(folder)
+
+
+LINES = [line for text in TEXT for line in brute.lines(text)]
+
+
+@pytest.mark.parametrize("reducers", [None, 1, 2])
+@pytest.mark.parametrize(
+    "name, window, expected",
+    [
+        ("word_count", 2, brute.word_counts(LINES)),
+        ("total_word_count", 2, {"word": sum(len(line.split()) for line in LINES)}),
+        ("cooccurrence_pairs", 5, brute.gram_counts(LINES, 2)),
+        ("ngram_pairs", 3, brute.gram_counts(LINES, 3)),
+    ],
+)
+def test_count_jobs(spark, corpus, tmp_path, name, window, expected, reducers):
+    out = str(tmp_path / "out")
+    stats = run_job(spark, name, corpus, out, window, reducers).first()
+    got = {r.word: r.n for r in read_counts(spark, f"{out}/output_run_0").collect()}
+    assert got == expected
+    assert stats.map_input_records == len(LINES)
+    assert stats.map_output_records == sum(expected.values())
+    assert stats.reduce_output_records == len(expected)
+
+
+@pytest.mark.parametrize("name, window, n", [("cooccurrence_stripes", 4, 2), ("ngram_stripes", 3, 3)])
+def test_stripe_jobs(spark, corpus, tmp_path, name, window, n):
+    out = str(tmp_path / "out")
+    stats = run_job(spark, name, corpus, out, window, 2).first()
+    got = {r.key: r.value for r in read_pairs(spark, f"{out}/output_run_0").collect()}
+    expected = {
+        head: ", ".join(f"{tail}:{k}" for tail, k in sorted(found.items()))
+        for head, found in brute.stripe_counts(LINES, n).items()
+    }
+    assert got == expected
+    assert stats.map_input_records == len(LINES)
+    assert stats.reduce_output_records == len(expected)
+
+
+def test_runs_write_to_their_own_folders_and_feed_the_recap(spark, corpus, tmp_path):
+    out, stats = str(tmp_path / "out"), str(tmp_path / "stats")
+    run_job(spark, "word_count", corpus, out, runs=2, stats_path=stats)
+    assert sorted(os.listdir(out)) == ["output_run_0", "output_run_1"]
+    row = recap.run_recap(
+        spark.read.parquet(stats), means=["map_output_records"], last=["reduce_output_records"]
+    ).first()
+    assert (row.job, row.successful_runs, row.failed_runs) == ("word_count", 2, 0)
+    assert row.avg_map_output_records == sum(brute.word_counts(LINES).values())
+    with pytest.raises(PySparkException):
+        run_job(spark, "word_count", corpus, out)
+
+
+def test_command_line(spark, corpus, tmp_path, capsys):
+    out = str(tmp_path / "out")
+    main(["ngram_pairs", corpus, out, "--window", "3", "--reducers", "1"])
+    assert "ngram_pairs" in capsys.readouterr().out
+    got = {r.word: r.n for r in read_counts(spark, f"{out}/output_run_0").collect()}
+    assert got == brute.gram_counts(LINES, 3)
+
+
+@pytest.mark.parametrize(
+    "given",
+    [
+        {"window": 1},
+        {"window": "3"},
+        {"reducers": 0},
+        {"runs": 0},
+        {"runs": 1.0},
+        {"name": "unknown"},
+    ],
+)
+def test_arguments_are_checked(spark, corpus, tmp_path, given):
+    arguments = {"name": "ngram_pairs", **given}
+    with pytest.raises(ValueError):
+        run_job(spark, input_path=corpus, output_path=str(tmp_path / "o"), **arguments)
+    assert len(JOBS) == 6

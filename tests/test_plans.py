@@ -1,0 +1,92 @@
+"""What the plans must look like, so that they hold at a large scale."""
+
+import re
+
+import pytest
+
+from wordloom.functions.tokens import WORD
+from wordloom.operators import stripes
+from wordloom.plans import catalog
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def planned(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def executed(df):
+    df.collect()
+    return final_only(planned(df))
+
+
+def plan(spark, name):
+    return planned(catalog.queries()[name](spark, FOLDER))
+
+
+def final_only(text):
+    """The plan without the initial plans, which stand beside the final ones after a run."""
+    kept, skipped_from = [], None
+    for line in text.split("\n"):
+        depth = len(line) - len(line.lstrip(" :|"))
+        if skipped_from is not None and depth > skipped_from:
+            continue
+        skipped_from = depth if "== Initial Plan ==" in line else None
+        if skipped_from is None:
+            kept.append(line)
+    return "\n".join(kept)
+
+
+@pytest.mark.parametrize(
+    "name", ["word_count", "cooccurrence_pairs", "ngram_pairs_10", "top_words", "corpus_totals"]
+)
+def test_counts_tokenize_once_and_combine_before_the_shuffle(spark, name):
+    text = plan(spark, name)
+    assert text.count(WORD) == 1
+    assert text.count("FileScan") == 1
+    assert "partial_count(1)" in text
+    assert "ReadSchema: struct<text:string>" in text
+    shuffles = re.findall("Exchange hashpartitioning", text)
+    assert len(shuffles) == 1
+
+
+@pytest.mark.parametrize("part_bytes", [200, stripes.PART_BYTES])
+def test_stripes_share_one_count(spark, part_bytes):
+    text = executed(catalog.ngram_stripes(spark, FOLDER, 2, part_bytes))
+    assert text.count(WORD) == 1
+    assert text.count("FileScan") == 1
+    assert "SortMergeJoin" not in text
+    # With no head above the limit the join falls away at run time.
+    assert ("ReusedExchange" in text) == ("BroadcastHashJoin" in text) == (part_bytes == 200)
+
+
+def test_line_stripes_shuffle_lines_once(spark):
+    text = plan(spark, "line_stripes")
+    assert text.count("Exchange") == 1
+    assert text.count(WORD) == 1
+
+
+def test_profile_reads_the_lines_once(spark):
+    for name in ("volume_profile", "stripe_profile"):
+        text = plan(spark, name)
+        assert text.count("FileScan") == 1
+        assert text.count(WORD) == 1
+
+
+def test_rankings_run_as_distributed_top_k(spark):
+    for name in ("top_words", "bottom_words"):
+        assert "TakeOrderedAndProject" in plan(spark, name)
+
+
+def test_expansion_stays_in_generated_code(spark):
+    text = executed(catalog.ngram_pairs(spark, FOLDER, 3))
+    for node in ("Generate", "Project", "HashAggregate"):
+        for line in re.findall(rf".*\b{node}\b.*", text):
+            assert re.search(rf"\*\(\d+\) {node}", line), line
+
+
+def test_no_python_in_any_plan(spark):
+    for name in catalog.queries():
+        text = plan(spark, name)
+        for word in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+            assert word not in text, name

@@ -16,7 +16,8 @@ def read_two_series(spark: SparkSession, path: str, names: tuple[str, str]) -> D
 
     Lines up to the first blank one belong to ``names[0]``, all later ones to
     ``names[1]``; lines that are not digits only are ignored. A file without a
-    blank line, or with an empty series, fails the job. Such files hold a few
+    blank line, or with an empty series, fails the job; a file of no bytes gives
+    no rows, as everywhere in Spark. Such files hold a few
     samples of one run; each is read as one record, and files are spread over
     the tasks.
     """

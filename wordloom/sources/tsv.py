@@ -22,13 +22,16 @@ def write_tsv(
     """Write ``key TAB value`` lines; fail if ``path`` exists.
 
     With ``files`` the rows are hashed by key, and by ``spread_by`` where one
-    key has many rows, into that many files. Without it the rows stay in the
-    partitions they were counted in, which saves a shuffle of the whole result;
-    adaptive execution has then already merged the small ones.
+    key has many rows, into that many files, less those no key falls into.
+    Without it the rows stay in the partitions they were counted in, which saves
+    a shuffle of the whole result; adaptive execution has then already merged
+    the small ones.
     """
     if files is not None:
         at_least("files", files, 1)
-        table = table.repartition(files, key, *spread_by)
+        # Not on the bare columns: the table may be partitioned by them already,
+        # Spark would then drop this step, and the number of files with it.
+        table = table.repartition(files, F.xxhash64(key, *spread_by))
     line = F.concat_ws("\t", key, F.col(value).cast("string"))
     (
         table.sortWithinPartitions(key, *spread_by)
