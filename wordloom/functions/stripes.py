@@ -1,19 +1,28 @@
-"""Views of a stripe, an array of ``struct<tail: string, n: bigint>``."""
+"""Entries of a stripe and its views."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Stands between tail and count until the entries are joined. It sorts below
+# every character a token can hold, so entries sort exactly as their tails do.
+_MARK = "\x01"
+
+
+def entry(tail: Column, n: Column) -> Column:
+    """One ``(tail, n)`` as text, in the form :func:`as_text` expects."""
+    return F.concat(tail, F.lit(_MARK), n.cast("string"))
+
 
 def as_text(entries: Column) -> Column:
-    """``t1:n1, t2:n2`` in the order of the array."""
-    shown = F.transform(entries, lambda e: F.concat_ws(":", e["tail"], e["n"].cast("string")))
-    return F.array_join(shown, ", ")
+    """``t1:n1, t2:n2`` in tail order from an array of :func:`entry`."""
+    joined = F.array_join(F.sort_array(entries), ", ")
+    return F.replace(joined, F.lit(_MARK), F.lit(":"))
 
 
 def as_map(entries: Column) -> Column:
-    """``map<tail, n>``."""
+    """``map<tail, n>`` from an array of ``struct<tail, n>``."""
     return F.map_from_entries(entries)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # These patterns define which tokens count, so they must not change.
 WORD = r"[\p{L}0-9](?:[\p{L}0-9'-]*[\p{L}0-9])?"
-RAW_WORD = "[^ \t\n\r\f]+"
+RAW_DELIMITERS = "[ \t\n\r\f]+"
 OUTSIDE_ALPHABET = r"[^\p{L}0-9\s'-]"
 ISOLATED_MARKS = r"(?<=\s)['-]+|['-]+(?=\s)"
 LEADING_MARKS = r"(^|\s)['-]+"
@@ -28,7 +28,7 @@ def words(line: Column) -> Column:
 
 def raw_words(line: Column) -> Column:
     """Whitespace-separated tokens of ``line`` as they stand."""
-    return F.regexp_extract_all(line, F.lit(RAW_WORD), 0)
+    return F.array_remove(F.split(line, RAW_DELIMITERS), "")
 
 
 def lower_case(line: Column) -> Column:

@@ -21,7 +21,7 @@ from wordloom.functions.checks import at_least
 from wordloom.operators.counts import count_by
 from wordloom.operators.expand import head_tails
 
-PART_BYTES = 8 * 1024 * 1024
+PART_BYTES = 4 * 1024 * 1024
 MAX_LARGE_HEADS = 4_000_000
 
 
@@ -68,22 +68,22 @@ def with_parts(
     )
 
 
-def pack(rows: DataFrame, *keys: str) -> DataFrame:
-    """``(*keys, entries)``: ``(tail, n)`` of equal keys as an array in tail order."""
-    found = F.sort_array(F.collect_list(F.struct("tail", "n")))
-    return rows.groupBy(*keys).agg(found.alias("entries"))
+def pack_texts(rows: DataFrame, *keys: str) -> DataFrame:
+    """``(*keys, stripe)``: ``t1:n1, t2:n2`` from all rows ``(*keys, tail, n)`` of equal keys."""
+    entries = F.collect_list(stripes.entry(F.col("tail"), F.col("n")))
+    return rows.groupBy(*keys).agg(stripes.as_text(entries).alias("stripe"))
 
 
 def stripe_texts(entries: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
-    """``(head, part, stripe)`` with the stripe as ``t1:n1, t2:n2``."""
-    packed = pack(with_parts(entries, part_bytes), "head", "part")
-    return packed.select("head", "part", stripes.as_text(F.col("entries")).alias("stripe"))
+    """``(head, part, stripe)`` with the stripe as ``t1:n1, t2:n2`` in tail order."""
+    return pack_texts(with_parts(entries, part_bytes), "head", "part")
 
 
 def stripe_maps(entries: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     """``(head, part, stripe)`` with the stripe as ``map<tail, n>``."""
-    packed = pack(with_parts(entries, part_bytes), "head", "part")
-    return packed.select("head", "part", stripes.as_map(F.col("entries")).alias("stripe"))
+    found = F.sort_array(F.collect_list(F.struct("tail", "n")))
+    rows = with_parts(entries, part_bytes)
+    return rows.groupBy("head", "part").agg(stripes.as_map(found).alias("stripe"))
 
 
 def line_stripes(lines: DataFrame, n: int, *keys: str, column: str = "line") -> DataFrame:
@@ -94,5 +94,4 @@ def line_stripes(lines: DataFrame, n: int, *keys: str, column: str = "line") ->
     further shuffle. A stripe is bounded by its line.
     """
     found = head_tails(lines.repartition(*keys), n, column, *keys)
-    packed = pack(count_by(found, *keys, "head", "tail"), *keys, "head")
-    return packed.select(*keys, "head", stripes.as_text(F.col("entries")).alias("stripe"))
+    return pack_texts(count_by(found, *keys, "head", "tail"), *keys, "head")
