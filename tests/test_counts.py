@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wordloom.operators import counts, expand, profile, ranking, stripes
+from wordloom.sources.lines import lines_of
 
 EXAMPLE = ["The cat's cat.", "the -- CAT", ""]
 
@@ -83,6 +84,13 @@ def test_word_counts_and_splits_agree(frame):
         assert {w: n for (s, w), n in per_split.items() if s == k} == part
 
 
+def test_whole_texts_and_their_lines_hold_the_same_words(frame):
+    texts = frame(["a-\nb'\r\n-c d-\re", "ΑΣ\nΒ ΑΣ", "x\n\n'\ny"], "text")
+    whole = pairs(counts.word_counts(texts, "text"))
+    assert whole == pairs(counts.word_counts(lines_of(texts, "text")))
+    assert whole["ας"] == 2
+
+
 def test_short_lines_give_no_window(frame):
     lines = frame(["a", "a b", "a b c", ""])
     assert pairs(counts.ngram_counts(lines, 3)) == {"a,b,c": 1}

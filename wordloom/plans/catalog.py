@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from wordloom.functions.tokens import normalized
 from wordloom.operators import counts, expand, profile, ranking, recap, stripes
-from wordloom.sources.lines import lines_of
+from wordloom.sources.lines import lines_of, read_lines
 from wordloom.sources.scratch import scratch_path
 from wordloom.sources.tables import read_table, spread
-from wordloom.sources.tsv import read_counts, write_tsv
+from wordloom.sources.tsv import read_counts, read_pairs, write_tsv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -117,6 +117,18 @@ def tsv_round_trip(spark, folder):
     return read_counts(spark, path)
 
 
+def stripes_tsv_round_trip(spark, folder):
+    path = scratch_path(spark, "stripes")
+    write_tsv(ngram_stripes(spark, folder, 2), path, "head", "stripe", 2, ("part",))
+    return read_pairs(spark, path)
+
+
+def word_count_from_files(spark, folder):
+    path = scratch_path(spark, "lines")
+    _lines(spark, folder).select("line").write.mode("errorifexists").text(path)
+    return counts.word_counts(read_lines(spark, path))
+
+
 def run_recap(spark, folder):
     """``events`` as job runs: the type is the job, values above 100 are failed runs."""
     events = read_table(
@@ -173,6 +185,8 @@ def queries() -> dict[str, Query]:
         "stripe_profile": partial(stripe_profile, n=2),
         "stripe_profile_3": partial(stripe_profile, n=3),
         "tsv_round_trip": tsv_round_trip,
+        "stripes_tsv_round_trip": stripes_tsv_round_trip,
+        "word_count_from_files": word_count_from_files,
         "run_recap": run_recap,
         "series_means": series_means,
         "word_count_pages": partial(word_count, table="pages", column="html"),

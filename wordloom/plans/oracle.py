@@ -180,6 +180,8 @@ def oracle_sql() -> dict[str, str]:
         "stripe_profile": _stripe_profile(2),
         "stripe_profile_3": _stripe_profile(3),
         "tsv_round_trip": words,
+        "stripes_tsv_round_trip": f"SELECT head AS key, stripe AS value FROM ({_stripes(2)})",
+        "word_count_from_files": words,
         "run_recap": _run_recap(),
         "series_means": _series_means(),
         "word_count_pages": _word_count("pages", "page_id", "html"),
