@@ -62,7 +62,7 @@ def test_stripes_share_one_count(spark, part_bytes):
 
 def test_line_stripes_shuffle_lines_once(spark):
     text = plan(spark, "line_stripes")
-    assert text.count("Exchange") == 1
+    assert text.count("Exchange hashpartitioning") == 1
     assert text.count(WORD) == 1
 
 
