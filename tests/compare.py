@@ -68,7 +68,7 @@ def main() -> None:
     sql = entry.oracle_sql()
     bad = 0
     for name, query in entry.queries().items():
-        if sys.argv[2:] and name not in sys.argv[2:]:
+        if name not in sql or sys.argv[2:] and name not in sys.argv[2:]:
             continue
         start = time.time()
         found = difference(query(spark, folder), con, sql[name])

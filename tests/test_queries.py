@@ -6,6 +6,8 @@ import __spark_entry__ as entry
 import pytest
 from compare import database, difference
 
+from wordloom.plans import catalog, oracle
+
 FOLDER = "/root/testdata/sf0.001"
 
 
@@ -15,10 +17,10 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert catalog.queries().keys() == oracle.oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", catalog.queries())
 def test_query_equals_sql(spark, con, name):
     df = entry.queries()[name](spark, FOLDER)
     assert difference(df, con, entry.oracle_sql()[name]) is None
@@ -32,8 +34,6 @@ def test_entry(spark):
 
 
 def test_repartitioned_input_gives_the_same_rows(spark, con, monkeypatch):
-    from wordloom.plans import catalog
-
     monkeypatch.setattr(catalog, "spread", lambda scan: scan.repartition(13))
     for name in ("word_count", "ngram_stripes_3_in_parts", "volume_profile_3"):
         df = catalog.queries()[name](spark, FOLDER)

@@ -1,5 +1,4 @@
 import os
-from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import PySparkException
@@ -166,24 +165,37 @@ def test_incomplete_series_fail(spark, tmp_path, text):
         series(spark, tmp_path)
 
 
-def test_scratch_folder_comes_from_the_session(spark):
-    local = scratch.scratch_path(spark, "x")
-    assert os.path.isdir(os.path.dirname(local))
-
-    def session(master, conf=None, checkpoint_dir=None):
-        context = SimpleNamespace(
-            master=master, getConf=lambda: {}, getCheckpointDir=lambda: checkpoint_dir
-        )
-        settings = conf or {}
-        return SimpleNamespace(sparkContext=context, conf=settings)
-
-    shared = {"spark.checkpoint.dir": "hdfs://shared/"}
-    path = scratch.scratch_path(session("yarn", shared), "x")
-    assert path.startswith("hdfs://shared/x-")
-    assert path != scratch.scratch_path(session("yarn", shared), "x")
-    assert scratch.scratch_path(session("yarn", None, "hdfs://set"), "x").startswith("hdfs://set/x-")
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch.scratch_path(session("yarn"), "x")
+def test_scratch_folder_comes_from_the_session(spark, tmp_path):
+    assert scratch.scratch_path(spark, "x").startswith(scratch.shared_folder(spark) + "/x-")
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        assert scratch.scratch_path(spark, "x").startswith(f"{tmp_path}/x-")
+        assert scratch.scratch_path(spark, "x") != scratch.scratch_path(spark, "x")
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")
+
+
+def test_one_machine_folder_is_refused_on_a_cluster(spark, tmp_path, monkeypatch):
+    context = spark.sparkContext
+    monkeypatch.setattr(type(context), "master", "yarn")
+    for folder in (str(tmp_path), f"file:{tmp_path}"):
+        spark.conf.set("spark.checkpoint.dir", folder)
+        try:
+            with pytest.raises(ValueError, match="executors share"):
+                scratch.scratch_path(spark, "x")
+        finally:
+            spark.conf.unset("spark.checkpoint.dir")
+
+
+def test_written_rows_come_from_files(spark, tmp_path):
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        table = scratch.written(spark.range(5), "ids")
+        assert sorted(r.id for r in table.collect()) == [0, 1, 2, 3, 4]
+        assert all(str(tmp_path) in f for f in table.inputFiles())
+        assert scratch.written(spark.range(0), "ids").count() == 0
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")
 
 
 def test_parts_of_one_head_go_to_different_files(spark, frame, tmp_path):

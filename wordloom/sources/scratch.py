@@ -2,26 +2,47 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path under ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``, or the warehouse folder where that is not set.
 
-    Only a local session may do without the setting: it gets a temporary
-    folder, which other machines could not see.
+    A ``file:`` folder is only seen by one machine, so it is refused outside a
+    local session.
     """
     context = spark.sparkContext
     base = (
         spark.conf.get("spark.checkpoint.dir", None)
         or context.getConf().get("spark.checkpoint.dir")
         or context.getCheckpointDir()
+        or spark.conf.get("spark.sql.warehouse.dir")
     )
-    if not base:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="wordloom-")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    hadoop = context._jvm.org.apache.hadoop.fs.Path(base)
+    scheme = hadoop.getFileSystem(context._jsc.hadoopConfiguration()).getScheme()
+    if scheme == "file" and not context.master.startswith("local"):
+        raise ValueError(f"set spark.checkpoint.dir to a folder all executors share, not {base}")
+    return base.rstrip("/")
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder. The caller owns what is written there.
+
+    Query results are read from such files after the call has returned, so
+    nothing here can remove them: clear the shared folder when the results of a
+    session are no longer needed.
+    """
+    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def written(table: DataFrame, label: str) -> DataFrame:
+    """``table`` written to a new Parquet folder and read from there.
+
+    The rows are computed once and no longer depend on any executor.
+    """
+    spark = table.sparkSession
+    path = scratch_path(spark, label)
+    table.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(table.schema).parquet(path)
