@@ -177,7 +177,7 @@ def test_scratch_folder_comes_from_the_session(spark):
 
 
 def test_one_machine_folder_is_refused_on_a_cluster(spark, monkeypatch):
-    monkeypatch.setattr(type(spark.sparkContext), "master", "yarn")
+    monkeypatch.setattr(spark.sparkContext, "master", "yarn")
     with pytest.raises(ValueError, match="executors share"):
         scratch.scratch_path(spark, "x")
 
