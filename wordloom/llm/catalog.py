@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.llm import decontamination
+from wordloom.llm import decontamination, quality, simhash
 from wordloom.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,7 +33,22 @@ def decontamination_report(spark, folder):
     )
 
 
+def quality_verdicts(spark, folder):
+    measures = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    judged = quality.judge(_table(spark, folder, "documents", "doc_id", "text"), measures=measures)
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return judged.select("doc_id", *measures, failed.alias("base_failed"), "kept")
+
+
+def simhash_components(spark, folder):
+    found = simhash.near_duplicates(_table(spark, folder, "documents", "doc_id", "text"))
+    digits = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": decontamination_report,
+        "op5_quality_rules": quality_verdicts,
+        "op7_simhash": simhash_components,
     }

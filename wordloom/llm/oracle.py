@@ -30,7 +30,41 @@ def _decontamination() -> str:
     FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)"""
 
 
+def _quality() -> str:
+    """The rules in SQL, all of them for every text; their order makes no difference."""
+    word = r"[^\x20\x09-\x0D]+"
+    return rf"""WITH docs AS (
+        SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{word}') AS w
+        FROM documents),
+    starts AS (SELECT doc_id, w, unnest(range(len(w) - 2)) AS s FROM docs),
+    grams AS (SELECT doc_id, s, array_to_string(w[s + 1:s + 3], ' ') AS gram FROM starts),
+    again AS (
+        SELECT doc_id, s FROM (
+            SELECT doc_id, s, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM grams) WHERE n > 1),
+    repeats AS (
+        SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+        FROM (SELECT doc_id, unnest(range(s, s + 3)) AS p FROM again) GROUP BY doc_id),
+    lines AS (
+        SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+        FROM (SELECT doc_id, unnest(regexp_split_to_array(t, '\n')) AS line FROM docs)
+        WHERE regexp_matches(line, '{word}') GROUP BY doc_id),
+    measured AS (
+        SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+            len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
+            coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+            coalesce(n_lines, 0) AS n_lines, len(list_distinct(w)) AS n_distinct
+        FROM docs LEFT JOIN repeats USING (doc_id) LEFT JOIN lines USING (doc_id)),
+    base AS (
+        SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+        NOT base_failed AND 10 * n_symbols <= n_words AND 2 * n_dup_lines <= n_lines
+            AND word_chars BETWEEN 2 * n_words AND 25 * n_words
+            AND n_distinct * n_distinct >= n_words AS kept
+    FROM base"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_decontamination": _decontamination(),
+        "op5_quality_rules": _quality(),
     }
