@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.llm import decontamination, quality, simhash
+from wordloom.llm import decontamination, mixing, quality, simhash, token_store
+from wordloom.sources.scratch import scratch_path
 from wordloom.sources.tables import read_table
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -33,6 +37,20 @@ def decontamination_report(spark, folder):
     )
 
 
+def token_files(spark, folder):
+    """Writes a store when called, as a round trip through files must; the rows come from it."""
+    store = scratch_path(spark, "tokens")
+    token_store.write_store(_table(spark, folder, "documents", "doc_id", "text"), store, TOKENIZER)
+    index = token_store.read_index(spark, store)
+    return token_store.checksums(token_store.read_ids(spark, store, index))
+
+
+def mixed_sources(spark, folder):
+    found = mixing.report(_table(spark, folder, "documents", "doc_id", "text", "source"))
+    taken = (F.col("copies") * F.col("size")).cast("bigint")
+    return found.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+
+
 def quality_verdicts(spark, folder):
     measures = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     judged = quality.judge(_table(spark, folder, "documents", "doc_id", "text"), measures=measures)
@@ -49,6 +67,8 @@ def simhash_components(spark, folder):
 def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": decontamination_report,
+        "op2_token_files": token_files,
+        "op4_mixing": mixed_sources,
         "op5_quality_rules": quality_verdicts,
         "op7_simhash": simhash_components,
     }

@@ -30,6 +30,50 @@ def _decontamination() -> str:
     FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)"""
 
 
+def _mixing() -> str:
+    """Targets by one running sum over the sources, samples by one over each source."""
+    word = r"[^\x20\x09-\x0D]+"
+    return rf"""WITH docs AS (
+        SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{word}')) AS size,
+            (('0x' || substr(md5(concat_ws(':', 'mix', coalesce(doc_id::VARCHAR, ''),
+                coalesce(md5(text), ''))), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496 AS u,
+            len(regexp_extract_all(coalesce(text, ''), '(?m)\S[ \t\r]*$')) AS lines,
+            len(regexp_extract_all(coalesce(text, ''), '(?m)[.!?]["'')]*[ \t\r]*$')) AS closed
+        FROM documents),
+    keyed AS (
+        SELECT doc_id, source, size,
+            -ln(u) / least(1.0, greatest(0.1, closed::DOUBLE / greatest(lines, 1))) AS key
+        FROM docs),
+    sources AS (
+        SELECT source, sum(size)::BIGINT AS source_size,
+            [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
+        FROM keyed GROUP BY source),
+    running AS (
+        SELECT *, sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER earlier, 0) AS rest,
+            sum(weight) OVER () - coalesce(sum(weight) OVER earlier, 0) AS shares
+        FROM sources WINDOW earlier AS (
+            ORDER BY 3 * source_size / weight, source NULLS LAST
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    marked AS (SELECT *, 3 * source_size * shares <= rest * weight AS cut FROM running),
+    targets AS (
+        SELECT source, source_size, CASE WHEN cut THEN (3 * source_size)::DOUBLE
+            ELSE (weight * max(rest) FILTER (NOT cut) OVER ())::DOUBLE
+                / (max(shares) FILTER (NOT cut) OVER ())::DOUBLE END AS target
+        FROM marked),
+    planned AS (
+        SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs
+        FROM targets),
+    summed AS (
+        SELECT doc_id, size, source_size, target, epochs, target - epochs * source_size AS rest,
+            sum(size) OVER (PARTITION BY k.source ORDER BY key) AS upto,
+            sum(size) OVER (PARTITION BY k.source, key) AS unit
+        FROM keyed k JOIN planned p ON k.source IS NOT DISTINCT FROM p.source)
+    SELECT doc_id, size, source_size, target, (size * (epochs + CASE
+        WHEN upto <= rest OR upto - unit < rest AND upto - rest < rest - (upto - unit)
+        THEN 1 ELSE 0 END))::BIGINT AS taken
+    FROM summed"""
+
+
 def _quality() -> str:
     """The rules in SQL, all of them for every text; their order makes no difference."""
     word = r"[^\x20\x09-\x0D]+"
@@ -66,5 +110,6 @@ def _quality() -> str:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_decontamination": _decontamination(),
+        "op4_mixing": _mixing(),
         "op5_quality_rules": _quality(),
     }

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from wordloom.functions.checks import at_least
 from wordloom.llm.shipping import send_code
-from wordloom.llm.texts import unused
+from wordloom.llm.texts import bounded_sample, unused
 
 # The white space that separates words, and what counts as a symbol.
 SPACES = " \t\n\x0b\x0c\r"
@@ -124,15 +124,14 @@ def measure_rules(
     text: str = "text",
     rows: int = SAMPLE_ROWS,
 ) -> list[Measured]:
-    """Cost and rejections of each rule on the ``rows`` documents of the smallest hashes.
+    """Cost and rejections of each rule on ``rows`` documents at most, chosen by a hash.
 
     The sample is judged in one task, each rule on a fresh text, so that no rule
     gains from what another has computed; one row per rule comes to the driver.
     """
     at_least("rows", rows, 1)
     send_code(docs.sparkSession)
-    key = F.xxhash64(doc_id, text)
-    sample = docs.select(F.col(text).alias("text")).orderBy(key).limit(rows)
+    sample = bounded_sample(docs, rows, doc_id, text).select(F.col(text).alias("text"))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seconds, rejected = [0.0] * len(rules), [0] * len(rules)

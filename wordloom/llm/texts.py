@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -57,3 +57,17 @@ def unused(columns: Sequence[str], name: str) -> str:
     while name in taken:
         name = f"_{name}"
     return name
+
+
+def bounded_sample(table: DataFrame, rows: int, *columns: str) -> DataFrame:
+    """At most ``rows`` rows of ``table``, spread over all of it by a hash of ``columns``.
+
+    The hash lets about four times as many through as are wanted, so the limit has
+    few rows to choose from, however large the table and however many its tasks.
+    """
+    n = table.count()
+    if n <= rows:
+        return table
+    scale = 1 << 40
+    share = min(scale, -(-4 * rows * scale // n))
+    return table.where(F.pmod(F.xxhash64(*columns), F.lit(scale)) < share).limit(rows)
