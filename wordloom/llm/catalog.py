@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.llm import decontamination, mixing, quality, simhash, token_store
+from wordloom.llm import (
+    decontamination,
+    licenses,
+    line_dedup,
+    mixing,
+    quality,
+    sharding,
+    simhash,
+    token_store,
+    warc,
+)
 from wordloom.sources.scratch import scratch_path
 from wordloom.sources.tables import read_table
 
@@ -64,11 +74,73 @@ def simhash_components(spark, folder):
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def deduplicated_lines(spark, folder):
+    found = line_dedup.dedup_lines(_table(spark, folder, "documents", "doc_id", "text"))
+    return found.select(
+        "doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    )
+
+
+def warc_round_trip(spark, folder):
+    """Writes an archive when called, as a round trip through files must; the rows come from it."""
+    pages = _table(spark, folder, "pages", "page_id", "url", "html")
+    files = warc.write_warc(pages, scratch_path(spark, "warc"))
+    return warc.read_warc(files, payloads=False).select(
+        warc.page_of("record_id").cast("bigint").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.page_of("refers_to").cast("bigint").alias("refers_to"),
+    )
+
+
+def sharded(spark, folder):
+    docs = _table(spark, folder, "documents", "doc_id", "text").select(
+        "doc_id",
+        "text",
+        (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("bigint").alias("size"),
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+    )
+    # The text is only needed for its hash, which orders rows of one id.
+    narrow = docs.withColumn("text", F.xxhash64("text"))
+    placed = sharding.shard_rows(narrow)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def license_scan(spark, folder):
+    docs = _table(spark, folder, "documents", "doc_id", "text")
+    known = licenses.known(spark)
+    whole = licenses.scan(docs, known).select(
+        "doc_id", F.xxhash64("text").alias("text_key"), "canonical_sha256", "license"
+    )
+    lines = licenses.notices(docs, known).withColumnRenamed("doc_id", "line_id")
+    same = F.col("doc_id").eqNullSafe(F.col("line_id")) & (whole["text_key"] == lines["text_key"])
+    return whole.join(lines, same, "left").select(
+        "doc_id",
+        "canonical_sha256",
+        "license",
+        F.coalesce("n_lines", F.lit(0)).cast("bigint").alias("n_notice_lines"),
+        F.coalesce(F.array_join("licenses", ","), F.lit("")).alias("notices"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": decontamination_report,
         "op2_token_files": token_files,
+        "op3_line_dedup": deduplicated_lines,
         "op4_mixing": mixed_sources,
         "op5_quality_rules": quality_verdicts,
         "op7_simhash": simhash_components,
+        "op8_license_scan": license_scan,
+        "op9_warc": warc_round_trip,
+        "op10_sharding": sharded,
     }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from wordloom.llm.licenses import LICENSES, NOTICES
+
 _LOWER = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
@@ -107,9 +109,88 @@ def _quality() -> str:
     FROM base"""
 
 
+def _line_dedup() -> str:
+    return r"""WITH docs AS (
+        SELECT doc_id, text, regexp_split_to_array(text, '\n') AS l FROM documents),
+    placed AS (
+        SELECT doc_id, least(len(l), 3) AS n, unnest(range(len(l) - least(len(l), 3) + 1)) AS s, l
+        FROM docs WHERE text IS NOT NULL),
+    windows AS (
+        SELECT doc_id, s, n, l[s + 1:s + n] AS w FROM placed
+        WHERE regexp_matches(array_to_string(l[s + 1:s + n], ''), '[^\x20\x09-\x0D]')),
+    ranked AS (
+        SELECT *, row_number() OVER of_window AS r, first_value(doc_id) OVER of_window AS d1,
+            first_value(s) OVER of_window AS s1, first_value(n) OVER of_window AS n1
+        FROM windows WINDOW of_window AS (PARTITION BY w ORDER BY doc_id NULLS FIRST, s)),
+    gone AS (
+        SELECT DISTINCT doc_id, p FROM (
+            SELECT doc_id, d1, s1 + n1 AS free, unnest(range(s, s + n)) AS p FROM ranked WHERE r > 1)
+        WHERE doc_id <> d1 OR p >= free),
+    numbered AS (SELECT doc_id, unnest(range(len(l))) AS p, unnest(l) AS line FROM docs),
+    kept AS (
+        SELECT doc_id, count(*) AS n_lines, count(g.p) AS n_removed,
+            coalesce(string_agg(line, chr(10) ORDER BY n.p) FILTER (g.p IS NULL), '') AS text
+        FROM numbered n LEFT JOIN gone g USING (doc_id, p) GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+        sha256(coalesce(k.text, '')) AS kept_sha256
+    FROM docs LEFT JOIN kept k USING (doc_id)"""
+
+
+def _licenses() -> str:
+    def canonical(text: str) -> str:
+        line = (
+            r"(?m)^[\s#*/;%-]*(?:portions\s+)?"
+            r"(?:copyright(?:ed)?\b|\(c\)|©|&copy;|all rights reserved).*$"
+        )
+        out = f"regexp_replace(lower(coalesce({text}, '')), '{line}', ' ', 'g')"
+        for pattern, spelling in (
+            (r"licence", "license"),
+            (r"sub-license", "sublicense"),
+            (r"(author|initial|organ|real|recogn|util)is(e|ing|ation)", r"\1iz\2"),
+            (r"(behavi|col|fav|hon|lab)our", r"\1or"),
+            (r"non-(commercial|infring)", r"non\1"),
+            (r"https:", "http:"),
+        ):
+            out = f"regexp_replace({out}, '{pattern}', '{spelling}', 'g')"
+        return rf"trim(regexp_replace({out}, '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"
+
+    texts = ", ".join(
+        "('{}', '{}')".format(name, text.replace("'", "''")) for name, text in LICENSES + NOTICES
+    )
+    return rf"""WITH given AS (SELECT * FROM (VALUES {texts}) AS v(license, text)),
+    known AS (
+        SELECT form, min(license) AS license
+        FROM (SELECT {canonical('text')} AS form, license FROM given) WHERE form <> '' GROUP BY form),
+    docs AS (SELECT doc_id, text, {canonical('text')} AS form FROM documents),
+    lines AS (
+        SELECT doc_id, {canonical('line')} AS form
+        FROM (SELECT doc_id, unnest(regexp_split_to_array(text, '\n')) AS line FROM documents)),
+    named AS (
+        SELECT doc_id, count(*) AS n, string_agg(DISTINCT license, ',' ORDER BY license) AS notices
+        FROM lines JOIN known USING (form) GROUP BY doc_id)
+    SELECT doc_id, sha256(form) AS canonical_sha256, license, coalesce(n, 0) AS n_notice_lines,
+        coalesce(notices, '') AS notices
+    FROM docs LEFT JOIN known USING (form) LEFT JOIN named USING (doc_id)"""
+
+
+def _warc() -> str:
+    return """WITH read AS (
+        SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS size FROM pages),
+    ranked AS (
+        SELECT *, CASE WHEN size >= 1000 THEN max(page_id) OVER (PARTITION BY html) END AS largest
+        FROM read)
+    SELECT page_id, size AS payload_bytes, sha1(html) AS payload_digest,
+        CASE WHEN largest <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN largest <> page_id THEN largest END AS refers_to
+    FROM ranked"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_decontamination": _decontamination(),
+        "op3_line_dedup": _line_dedup(),
         "op4_mixing": _mixing(),
         "op5_quality_rules": _quality(),
+        "op8_license_scan": _licenses(),
+        "op9_warc": _warc(),
     }
