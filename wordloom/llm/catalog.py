@@ -17,6 +17,7 @@ from wordloom.llm import (
     sharding,
     simhash,
     token_store,
+    toxicity,
     warc,
 )
 from wordloom.sources.scratch import scratch_path
@@ -132,6 +133,17 @@ def license_scan(spark, folder):
     )
 
 
+def toxicity_scores(spark, folder):
+    docs = _table(spark, folder, "documents", "doc_id", "text")
+    model = toxicity.train(docs, _table(spark, folder, "labels", "doc_id", "toxic"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": decontamination_report,
@@ -139,6 +151,7 @@ def queries() -> dict[str, Query]:
         "op3_line_dedup": deduplicated_lines,
         "op4_mixing": mixed_sources,
         "op5_quality_rules": quality_verdicts,
+        "op6_toxicity": toxicity_scores,
         "op7_simhash": simhash_components,
         "op8_license_scan": license_scan,
         "op9_warc": warc_round_trip,
