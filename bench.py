@@ -35,8 +35,16 @@ HEADLINE = (
     "ngram_stripes_10",
     "line_stripes",
     "word_count_by_document",
-    "word_count_two_level",
-    "volume_profile",
+    "gram_totals_1",
+    "bottom_words",
+    "tokens",
+    "normalized_lines",
+    "cooccurrence_stripes_in_parts",
+    "ngram_stripes_3_in_parts",
+    "run_recap",
+    "tsv_round_trip",
+    "stripes_tsv_round_trip",
+    "word_count_from_files",
 )
 
 

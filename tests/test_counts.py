@@ -71,17 +71,9 @@ def test_against_brute_force(frame, n):
     assert got == expected
 
 
-def test_word_counts_and_splits_agree(frame):
+def test_word_counts(frame):
     texts = random_lines(1)
-    lines = frame(texts).withColumn("split", F.col("id") % 7)
-    expected = brute.word_counts(texts)
-    assert pairs(counts.word_counts(lines)) == expected
-    by_split = counts.word_counts_by_split(lines, "split")
-    assert pairs(counts.merge_splits(by_split, "word")) == expected
-    per_split = {(r.split, r.word): r.n for r in by_split.collect()}
-    for k in range(7):
-        part = brute.word_counts(texts[k::7])
-        assert {w: n for (s, w), n in per_split.items() if s == k} == part
+    assert pairs(counts.word_counts(frame(texts))) == brute.word_counts(texts)
 
 
 def test_whole_texts_and_their_lines_hold_the_same_words(frame):
@@ -111,41 +103,33 @@ def test_window_is_checked(frame, window):
 
 
 @pytest.mark.parametrize("n", [1, 2, 3])
-def test_volume_profile(frame, n):
+def test_gram_totals(frame, n):
     texts = random_lines(20 + n) + ["", "one"]
-    lines = frame(texts).withColumn("split", F.col("id") % 5)
-    got = pairs(profile.volume_profile(lines, n, "split"))
-    by_split = [brute.gram_counts(texts[k::5], n) for k in range(5)]
-    merged = brute.gram_counts(texts, n)
-    assert got == {
-        "map_input_records": len(texts),
-        "map_output_records": sum(merged.values()),
-        "combine_output_records": sum(len(c) for c in by_split),
-        "reduce_output_records": len(merged),
-    }
+    found = brute.gram_counts(texts, n)
+    got = profile.gram_totals(frame(texts), n).first()
+    assert tuple(got) == (len(texts), sum(found.values()), len(found))
 
 
-def test_volume_of_worked_example(frame):
-    lines = frame(EXAMPLE).withColumn("split", F.lit(1))
-    emitted = [
-        pairs(profile.volume_profile(lines, n, "split"))["map_output_records"] for n in (1, 2, 3)
-    ]
-    assert emitted == [5, 3, 1]
-    assert pairs(profile.volume_profile(lines, 1, "split"))["map_input_records"] == 3
-
-
-def test_stripe_profile(frame):
-    texts = random_lines(5) + ["", "one"]
-    lines = frame(texts).withColumn("split", F.col("id") % 5)
-    heads = [{gram[0] for gram in brute.grams([line], 2)} for line in texts]
-    assert pairs(profile.stripe_profile(lines, 2, "split")) == {
-        "map_input_records": len(texts),
-        "map_output_records": sum(map(len, heads)),
-        "combine_output_records": sum(len(set().union(*heads[k::5])) for k in range(5)),
-        "reduce_output_records": len(set().union(*heads)),
-    }
+def test_totals_of_worked_example(frame):
+    got = [profile.gram_totals(frame(EXAMPLE), n).first() for n in (1, 2, 3)]
+    assert [r.grams for r in got] == [5, 3, 1]
+    assert got[0].lines == 3
+
 
+def test_empty_totals(frame):
+    assert tuple(profile.gram_totals(frame([]), 2).first()) == (0, 0, 0)
 
-def test_empty_profile(frame):
-    lines = frame([]).withColumn("split", F.lit(1))
-    assert set(pairs(profile.volume_profile(lines, 2, "split")).values()) == {0}
+
+def test_words_of_each_row(frame):
+    texts = random_lines(7) + ["", "one", None, "b a b A"]
+    got = {}
+    for r in counts.word_counts_by_row(frame(texts), "id").collect():
+        assert (r.id, r.word) not in got
+        got[r.id, r.word] = r.n
+    expected = {
+        (i, word): n
+        for i, text in enumerate(texts)
+        if text is not None
+        for word, n in brute.word_counts([text]).items()
+    }
+    assert got == expected

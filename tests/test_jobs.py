@@ -3,10 +3,12 @@ import os
 import brute
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
-from wordloom.operators import recap
+from wordloom.operators import counts, recap, stripes
+from wordloom.plans import jobs
 from wordloom.plans.jobs import JOBS, main, run_job
-from wordloom.sources.tsv import read_counts, read_pairs
+from wordloom.sources.tsv import read_counts, read_stripes
 
 TEXT = ["The cat's cat.\nthe -- CAT\n\n", "x y z w\r\nThe cat sat\rthe cat's cat"]
 
@@ -47,7 +49,9 @@ def test_count_jobs(spark, corpus, tmp_path, name, window, expected, reducers):
 def test_stripe_jobs(spark, corpus, tmp_path, name, window, n):
     out = str(tmp_path / "out")
     stats = run_job(spark, name, corpus, out, window, 2).first()
-    got = {r.key: r.value for r in read_pairs(spark, f"{out}/output_run_0").collect()}
+    rows = read_stripes(spark, f"{out}/output_run_0").collect()
+    assert all(r.part == 0 for r in rows)
+    got = {r.head: r.stripe for r in rows}
     expected = {
         head: ", ".join(f"{tail}:{k}" for tail, k in sorted(found.items()))
         for head, found in brute.stripe_counts(LINES, n).items()
@@ -57,12 +61,29 @@ def test_stripe_jobs(spark, corpus, tmp_path, name, window, n):
     assert stats.reduce_output_records == len(expected)
 
 
+def test_stripe_jobs_count_heads_and_keep_parts(spark, corpus, tmp_path, monkeypatch):
+    monkeypatch.setattr(
+        jobs, "_stripes", lambda lines, n: stripes.stripe_texts(counts.head_tail_counts(lines, n), 5)
+    )
+    monkeypatch.setitem(JOBS, "ngram_stripes", jobs.Job(jobs._stripes, jobs.STRIPE))
+    out = str(tmp_path / "out")
+    stats = run_job(spark, "ngram_stripes", corpus, out).first()
+    rows = read_stripes(spark, f"{out}/output_run_0").collect()
+    expected = brute.stripe_counts(LINES, 2)
+    assert len(rows) > len(expected) == stats.reduce_output_records
+    assert len({(r.head, r.part) for r in rows}) == len(rows)
+
+
 def test_runs_write_to_their_own_folders_and_feed_the_recap(spark, corpus, tmp_path):
     out, stats = str(tmp_path / "out"), str(tmp_path / "stats")
-    run_job(spark, "word_count", corpus, out, runs=2, stats_path=stats)
+    for run in (0, 1):
+        run_job(spark, "word_count", corpus, out, run=run, stats_path=stats)
     assert sorted(os.listdir(out)) == ["output_run_0", "output_run_1"]
     row = recap.run_recap(
-        spark.read.parquet(stats), means=["map_output_records"], last=["reduce_output_records"]
+        # A row is written for a job that came to its end only.
+        spark.read.parquet(stats).withColumn("succeeded", F.lit(True)),
+        means=["map_output_records"],
+        last=["reduce_output_records"],
     ).first()
     assert (row.job, row.successful_runs, row.failed_runs) == ("word_count", 2, 0)
     assert row.avg_map_output_records == sum(brute.word_counts(LINES).values())
@@ -84,8 +105,8 @@ def test_command_line(spark, corpus, tmp_path, capsys):
         {"window": 1},
         {"window": "3"},
         {"reducers": 0},
-        {"runs": 0},
-        {"runs": 1.0},
+        {"run": -1},
+        {"run": 1.0},
         {"name": "unknown"},
     ],
 )

@@ -5,7 +5,6 @@ import re
 import pytest
 
 from wordloom.functions.tokens import WORD
-from wordloom.operators import stripes
 from wordloom.plans import catalog
 
 FOLDER = "/root/testdata/sf0.001"
@@ -48,29 +47,44 @@ def test_counts_tokenize_once_and_combine_before_the_shuffle(spark, name):
     assert "ReadSchema: struct<text:string>" in text
     shuffles = re.findall("Exchange hashpartitioning", text)
     assert len(shuffles) == 1
-
-
-@pytest.mark.parametrize("part_bytes", [200, stripes.PART_BYTES])
-def test_stripes_share_one_count(spark, part_bytes):
-    text = executed(catalog.ngram_stripes(spark, FOLDER, 2, part_bytes))
+    # Nothing is moved before the first aggregate unless it is asked for.
+    assert "RoundRobinPartitioning" in text
+    bare = planned(catalog.queries()[name](spark, FOLDER, partitions=None))
+    below = bare.rsplit("partial_count(1)", 1)[1]
+    assert "Exchange" not in below
+
+
+def exchanges(text):
+    return len(re.findall(r"\bExchange\b", text))
+
+
+@pytest.mark.parametrize("threshold, join", [("-1", "SortMergeJoin"), ("10MB", "BroadcastHashJoin")])
+def test_stripes_share_one_count_whatever_the_join(spark, threshold, join):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", threshold)
+    try:
+        text = executed(catalog.ngram_stripes(spark, FOLDER, 2, 200))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert join in text
+    assert "ReusedExchange" in text
     assert text.count(WORD) == 1
     assert text.count("FileScan") == 1
-    assert "SortMergeJoin" not in text
-    # With no head above the limit the join falls away at run time.
-    assert ("ReusedExchange" in text) == ("BroadcastHashJoin" in text) == (part_bytes == 200)
 
 
-def test_line_stripes_shuffle_lines_once(spark):
-    text = plan(spark, "line_stripes")
-    assert text.count("Exchange hashpartitioning") == 1
+@pytest.mark.parametrize("name", ["line_stripes", "line_stripes_3", "word_count_by_document"])
+def test_counts_inside_a_row_move_nothing(spark, name):
+    text = planned(catalog.queries()[name](spark, FOLDER, partitions=None))
+    assert exchanges(text) == 0
     assert text.count(WORD) == 1
+    assert exchanges(plan(spark, name)) == 1
 
 
-def test_profile_reads_the_lines_once(spark):
-    for name in ("volume_profile", "stripe_profile"):
-        text = plan(spark, name)
-        assert text.count("FileScan") == 1
-        assert text.count(WORD) == 1
+def test_totals_read_the_lines_once(spark):
+    text = plan(spark, "gram_totals_3")
+    assert text.count("FileScan") == 1
+    assert text.count(WORD) == 1
 
 
 def test_rankings_run_as_distributed_top_k(spark):

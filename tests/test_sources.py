@@ -8,8 +8,8 @@ from wordloom.operators import counts, stripes
 from wordloom.sources import scratch
 from wordloom.sources.lines import lines_of, read_lines
 from wordloom.sources.series import read_two_series
-from wordloom.sources.tables import read_table, spread
-from wordloom.sources.tsv import read_counts, read_pairs, write_tsv
+from wordloom.sources.tables import read_table
+from wordloom.sources.tsv import read_counts, read_stripes, write_tsv
 
 
 def part_files(path):
@@ -68,35 +68,22 @@ def test_read_lines_takes_several_paths(spark, tmp_path):
     assert {r.line for r in read_lines(spark, paths).collect()} == {"a", "b"}
 
 
-def test_scan_reads_only_named_columns_and_is_spread(spark):
-    scan = read_table(spark, "/root/testdata/sf0.001/documents.parquet", "text")
+def test_scan_reads_only_named_columns_and_is_dealt_out_when_asked(spark):
+    path = "/root/testdata/sf0.001/documents.parquet"
+    scan = read_table(spark, path, "text")
     assert scan.columns == ["text"]
-    dealt = spread(scan)
-    assert dealt.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert "Exchange" not in scan._jdf.queryExecution().executedPlan().toString()
+    dealt = read_table(spark, path, "text", partitions=3)
+    assert dealt.rdd.getNumPartitions() == 3
     assert dealt.count() == scan.count()
 
 
-def test_scan_with_many_splits_is_not_shuffled(spark, tmp_path):
-    path = str(tmp_path / "t")
-    cores = spark.sparkContext.defaultParallelism
-    spark.range(1000).repartition(3 * cores).write.parquet(path)
-    with_small_splits = {"spark.sql.files.openCostInBytes": "1", "spark.sql.files.maxPartitionBytes": "100"}
-    for key, value in with_small_splits.items():
-        spark.conf.set(key, value)
-    try:
-        scan = read_table(spark, path, "id")
-        assert spread(scan) is scan
-    finally:
-        for key in with_small_splits:
-            spark.conf.unset(key)
-
-
 @pytest.mark.parametrize("files", [None, 1, 2, 5])
 def test_tsv_is_sorted_by_key_bytes_and_complete(spark, frame, tmp_path, files):
     words = ["b", "a", "é", "z", "a'b", "a-b", "a1", "ab", "ﬀ", "𐐨", "b", "ü"] * 20
     table = counts.word_counts(frame([" ".join(words)]))
     path = str(tmp_path / "out")
-    write_tsv(table, path, "word", "n", files)
+    write_tsv(table, path, "word", "n", files=files)
     parts = part_files(path)
     if files is not None:
         assert min(files, 2) <= len(parts) <= files
@@ -120,15 +107,16 @@ def test_existing_output_is_never_overwritten(frame, tmp_path):
 @pytest.mark.parametrize("files", [0, -1, 1.5, True])
 def test_number_of_files_is_checked(frame, tmp_path, files):
     with pytest.raises(ValueError):
-        write_tsv(counts.word_counts(frame(["a"])), str(tmp_path / "o"), "word", "n", files)
+        write_tsv(counts.word_counts(frame(["a"])), str(tmp_path / "o"), "word", "n", files=files)
 
 
 def test_stripes_round_trip(spark, frame, tmp_path):
     table = stripes.stripe_texts(counts.head_tail_counts(frame(["a b a c", "b a b"]), 2), 4)
     path = str(tmp_path / "out")
-    write_tsv(table, path, "head", "stripe", 2, ("part",))
-    got = {tuple(r) for r in read_pairs(spark, path).collect()}
-    assert got == {(r.head, r.stripe) for r in table.collect()}
+    write_tsv(table, path, "head", "part", "stripe", files=2)
+    got = {tuple(r) for r in read_stripes(spark, path).collect()}
+    assert got == {(r.head, r.part, r.stripe) for r in table.collect()}
+    assert max(part for _, part, _ in got) > 0
 
 
 def test_count_table_with_bad_lines(spark, tmp_path):
@@ -193,6 +181,6 @@ def test_written_rows_come_from_files(spark):
 def test_parts_of_one_head_go_to_different_files(spark, frame, tmp_path):
     lines = frame([f"hot t{i}" for i in range(400)])
     table = stripes.stripe_texts(counts.head_tail_counts(lines, 2), 100)
-    write_tsv(table, str(tmp_path / "o"), "head", "stripe", 4, ("part",))
+    write_tsv(table, str(tmp_path / "o"), "head", "part", "stripe", files=4)
     assert len([p for p in part_files(str(tmp_path / "o")) if p]) > 1
     assert table.where(F.col("head") == "hot").count() > 10

@@ -49,12 +49,19 @@ def test_hot_head_is_split_into_parts_of_bounded_size(frame, texts):
     assert parts["a"] == 1
 
 
-def test_number_of_large_heads_is_bounded(frame, texts):
-    entries = counts.head_tail_counts(frame(texts), 2)
-    split = stripes.with_parts(entries, 1, max_large_heads=3)
-    heads = split.groupBy("head").agg(F.max("part").alias("p")).where("p > 0").count()
-    assert heads < 3
-    rows = stripes.stripe_texts(entries, 1).collect()
+def test_part_size_does_not_depend_on_the_number_of_large_heads(frame):
+    """Every head is large here, and all of them are split to the same size."""
+    rng = random.Random(5)
+    texts = [f"h{i % 40} t{rng.randrange(10**6)}" for i in range(6000)]
+    for part_bytes in (100, 400):
+        rows = stripes.stripe_texts(
+            counts.head_tail_counts(frame(texts), 2), part_bytes
+        ).collect()
+        assert parsed(rows) == brute.stripe_counts(texts, 2)
+        sizes = [len(r.stripe.encode()) for r in rows]
+        assert sum(sizes) / len(sizes) < part_bytes * 1.1
+        assert max(sizes) < 3 * part_bytes
+    rows = stripes.stripe_texts(counts.head_tail_counts(frame(texts), 2), 1).collect()
     assert parsed(rows) == brute.stripe_counts(texts, 2)
 
 
@@ -66,9 +73,12 @@ def test_map_view(frame, texts):
     assert found == brute.stripe_counts(texts, 2)
 
 
-def test_line_stripes(frame, texts):
-    lines = frame(texts)
-    rows = stripes.line_stripes(lines, 2, "id").collect()
+@pytest.mark.parametrize("n", [2, 3, 5])
+def test_line_stripes(frame, n):
+    rng = random.Random(n)
+    texts = [" ".join(rng.choices("abc", k=rng.randrange(40))) for _ in range(200)]
+    texts += ["", None, "a", "a b", " ".join(rng.choices("abcdefgh", k=30_000))]
+    rows = stripes.line_stripes(frame(texts), n, "id").collect()
     got = {}
     for row in rows:
         entries = dict(e.rsplit(":", 1) for e in row.stripe.split(", "))
@@ -76,7 +86,8 @@ def test_line_stripes(frame, texts):
     expected = {
         (i, head): found
         for i, line in enumerate(texts)
-        for head, found in brute.stripe_counts([line], 2).items()
+        if line is not None
+        for head, found in brute.stripe_counts([line], n).items()
     }
     assert got == expected
     assert len(rows) == len(got)

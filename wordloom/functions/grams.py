@@ -36,9 +36,3 @@ def head(words: Column, start: Column) -> Column:
 def tail(words: Column, start: Column, n: int) -> Column:
     """Words 2..n of the n-gram at ``start``, joined by a comma."""
     return gram(words, start + 1, n - 1)
-
-
-def distinct_heads(words: Column, n: int) -> Column:
-    """The first words of the n-grams in ``words``, each once; null if there is none."""
-    size = F.size(words)
-    return F.when(size >= n, F.array_distinct(F.slice(words, F.lit(1), size - (n - 1))))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.functions import tokens
+from wordloom.functions import runs, tokens
 from wordloom.operators.expand import explode_words, head_tails, ngrams
 
 
@@ -27,7 +27,7 @@ def word_counts(texts: DataFrame, column: str = "line") -> DataFrame:
 
 def total_count(texts: DataFrame, column: str = "line") -> DataFrame:
     """``("word", n)`` with the number of whitespace-separated tokens; no row for none."""
-    size = F.size(tokens.raw_words(F.col(column))).cast("bigint")
+    size = F.regexp_count(column, F.lit(tokens.RAW_WORD)).cast("bigint")
     total = texts.where(F.col(column).isNotNull()).agg(F.sum(size).alias("n"))
     return total.where(F.col("n") > 0).select(F.lit("word").alias("key"), "n")
 
@@ -47,11 +47,11 @@ def head_tail_counts(lines: DataFrame, n: int, column: str = "line") -> DataFram
     return count_by(head_tails(lines, n, column), "head", "tail")
 
 
-def word_counts_by_split(texts: DataFrame, split: str, column: str = "line") -> DataFrame:
-    """``(split, word, n)``: the counts inside each split, as a combiner emits them."""
-    return count_by(explode_words(texts, column, split), split, "word")
+def word_counts_by_row(texts: DataFrame, *keys: str, column: str = "line") -> DataFrame:
+    """``(*keys, word, n)``: the words of each row of ``texts``, counted inside it.
 
-
-def merge_splits(by_split: DataFrame, *keys: str) -> DataFrame:
-    """``(*keys, n)`` from counts per split."""
-    return by_split.groupBy(*keys).agg(F.sum("n").alias("n"))
+    Nothing is shuffled, so rows that share their keys are counted each by itself.
+    """
+    found = texts.select(*keys, tokens.words(F.col(column)).alias("words"))
+    held = found.select(*keys, F.explode_outer(runs.counted(F.col("words"))).alias("c"))
+    return held.where(F.col("c").isNotNull()).select(*keys, F.col("c.item").alias("word"), "c.n")

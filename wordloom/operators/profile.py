@@ -1,64 +1,35 @@
-"""Volume counters of a counting job and totals of a count table."""
+"""Totals of a text collection and of a count table."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.functions import grams, tokens
-from wordloom.functions.checks import window_size
+from wordloom.functions import grams
 from wordloom.operators.expand import windows
 
 
-def _counters(emitted: DataFrame, split: str) -> DataFrame:
-    """``(counter, value)`` from ``(split, key, first)``.
+def gram_totals(lines: DataFrame, n: int, column: str = "line") -> DataFrame:
+    """``(lines, grams, distinct_grams)``: lines, their n-grams and different ones among these.
 
-    ``key`` is null on the row of a line that emits nothing; ``first`` is 1 on
-    one row of each line and 0 on its others.
+    ``n = 1`` is for words. One pass over the lines and one shuffle, of a row per
+    n-gram and task; lines without an n-gram are counted on the same way.
     """
-    by_split = emitted.groupBy(split, "key").agg(
-        F.sum("first").alias("lines"), F.count("key").alias("n")
-    )
-    by_key = by_split.groupBy("key").agg(
-        F.sum("lines").alias("lines"), F.sum("n").alias("n"), F.count("key").alias("splits")
-    )
-    totals = by_key.agg(
-        F.sum("lines").alias("map_input_records"),
-        F.sum("n").alias("map_output_records"),
-        F.sum("splits").alias("combine_output_records"),
-        F.count("key").alias("reduce_output_records"),
-    )
-    counters = totals.unpivot([], totals.columns, "counter", "value")
-    return counters.select("counter", F.coalesce("value", F.lit(0)).alias("value"))
-
-
-def volume_profile(lines: DataFrame, n: int, split: str, column: str = "line") -> DataFrame:
-    """``(counter, value)``: how many records each step of an n-gram count handles.
-
-    ``n = 1`` profiles the word count. ``combine_output_records`` is what is
-    left after counting inside each ``split``. All counters come from one pass
-    over the lines.
-    """
-    found = windows(lines, column, n, split)
+    found = windows(lines, column, n)
     gram = grams.gram(F.col("words"), F.col("start"), n)
     emitted = found.select(
-        split,
-        F.when(F.col("start").isNotNull(), gram).alias("key"),
+        F.when(F.col("start").isNotNull(), gram).alias("gram"),
         F.when(F.coalesce("start", F.lit(1)) == 1, 1).otherwise(0).alias("first"),
     )
-    return _counters(emitted, split)
-
-
-def stripe_profile(lines: DataFrame, n: int, split: str, column: str = "line") -> DataFrame:
-    """As :func:`volume_profile` for stripes: a line emits each of its heads once."""
-    window_size(n)
-    words = lines.select(split, tokens.words(F.col(column)).alias("words"))
-    heads = words.select(
-        split,
-        F.posexplode_outer(grams.distinct_heads(F.col("words"), n)).alias("pos", "key"),
+    by_gram = emitted.groupBy("gram").agg(
+        F.sum("first").alias("lines"), F.count("gram").alias("grams")
+    )
+    totals = by_gram.agg(
+        F.sum("lines").alias("lines"),
+        F.sum("grams").alias("grams"),
+        F.count("gram").alias("distinct_grams"),
     )
-    first = F.when(F.coalesce("pos", F.lit(0)) == 0, 1).otherwise(0)
-    return _counters(heads.select(split, "key", first.alias("first")), split)
+    return totals.select(*[F.coalesce(c, F.lit(0)).alias(c) for c in totals.columns])
 
 
 def corpus_totals(counts: DataFrame, column: str = "n") -> DataFrame:

@@ -7,8 +7,9 @@ so each tail is packed once.
 The stripe of a frequent head grows with the corpus and would at some size
 neither fit a task nor a row. Such a head is laid out over several rows, told
 apart by ``part``; together they hold the whole stripe. The bytes of each stripe
-are summed first, and the tails of a head above the limit are dealt out by a
-hash, so no task collects more than about the limit for one row.
+are summed first, and the tails of a head above ``part_bytes`` are dealt out by a
+hash, so a row holds about ``part_bytes`` whatever the corpus: the limit is a
+layout parameter and depends on nothing else.
 """
 
 from __future__ import annotations
@@ -16,13 +17,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.functions import stripes
-from wordloom.functions.checks import at_least
-from wordloom.operators.counts import count_by
-from wordloom.operators.expand import head_tails
+from wordloom.functions import grams, runs, stripes, tokens
+from wordloom.functions.checks import at_least, window_size
 
 PART_BYTES = 4 * 1024 * 1024
-MAX_LARGE_HEADS = 4_000_000
 
 
 def _hash_part(tail: Column, parts: Column) -> Column:
@@ -31,39 +29,31 @@ def _hash_part(tail: Column, parts: Column) -> Column:
     return F.pmod(digest.cast("bigint"), parts)
 
 
-def with_parts(
-    entries: DataFrame, part_bytes: int = PART_BYTES, max_large_heads: int = MAX_LARGE_HEADS
-) -> DataFrame:
-    """``(head, tail, n, part)``; ``part`` is 0 unless the stripe exceeds the limit.
+def with_parts(entries: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
+    """``(head, tail, n, part)``; ``part`` is 0 unless the stripe exceeds ``part_bytes``.
 
-    The limit is ``part_bytes``, or the bytes of all stripes divided by
-    ``max_large_heads`` where that is more. Fewer than ``max_large_heads`` heads
-    can lie above it, whatever the corpus, and each is one pair of integers: the
-    table of large heads has a fixed upper size and is broadcast, so the counts
-    are not shuffled again to find their parts.
+    The large heads are found from the counts, whose shuffle is reused. How they
+    are joined back is left to the planner: few are broadcast once their size is
+    known, many are shuffled, and adaptive execution splits the entries of a head
+    that is too large for one task.
 
     Heads are matched by a 64-bit hash. Should two share one, their bytes add up
     and they are split finer than needed; the stripes stay whole.
     """
     at_least("part_bytes", part_bytes, 1)
-    at_least("max_large_heads", max_large_heads, 1)
     entry_bytes = stripes.entry_bytes(F.col("tail"), F.col("n"))
     sizes = entries.groupBy(F.xxhash64("head").alias("hash")).agg(
         F.sum(entry_bytes).alias("bytes")
     )
-    all_bytes = sizes.agg(F.sum("bytes")).scalar()
-    limit = F.greatest(F.lit(part_bytes), F.ceil(all_bytes / max_large_heads))
-    large = (
-        sizes.withColumn("limit", limit)
-        .where(F.col("bytes") > F.col("limit"))
-        .select("hash", F.ceil(F.col("bytes") / F.col("limit")).alias("parts"))
+    large = sizes.where(F.col("bytes") > part_bytes).select(
+        "hash", F.ceil(F.col("bytes") / part_bytes).alias("parts")
     )
     part = F.when(F.col("parts").isNull(), F.lit(0)).otherwise(
         _hash_part(F.col("tail"), F.col("parts"))
     )
     return (
         entries.withColumn("hash", F.xxhash64("head"))
-        .join(F.broadcast(large), "hash", "left")
+        .join(large, "hash", "left")
         .select("head", "tail", "n", part.cast("bigint").alias("part"))
     )
 
@@ -89,9 +79,40 @@ def stripe_maps(entries: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
 def line_stripes(lines: DataFrame, n: int, *keys: str, column: str = "line") -> DataFrame:
     """``(*keys, head, stripe)``: the stripes of each single line.
 
-    ``keys`` identify a line. The lines are hashed by them before they are
-    expanded, when they are smallest, and both aggregations then run without a
-    further shuffle. A stripe is bounded by its line.
+    A line is counted inside its row: its pairs of head and tail are sorted and
+    runs of equal ones become entries. Nothing is shuffled. A stripe is bounded
+    by its line.
     """
-    found = head_tails(lines.repartition(*keys), n, column, *keys)
-    return pack_texts(count_by(found, *keys, "head", "tail"), *keys, "head")
+    window_size(n)
+    words = lines.select(*keys, tokens.words(F.col(column)).alias("words"))
+    pairs = F.transform(
+        grams.starts(F.col("words"), n),
+        lambda i: F.struct(
+            grams.head(F.col("words"), i).alias("head"),
+            grams.tail(F.col("words"), i, n).alias("tail"),
+        ),
+    )
+
+    def by_head(entries: Column) -> Column:
+        same = lambda a, b: a["item"]["head"] == b["item"]["head"]
+        starts = runs.run_starts(entries, same)
+        return runs.bound(
+            starts,
+            lambda s: F.transform(
+                runs.runs(s, F.size(entries)),
+                lambda r: F.struct(
+                    F.get(entries, r["start"] - 1)["item"]["head"].alias("head"),
+                    stripes.as_text(
+                        F.transform(
+                            F.slice(entries, r["start"], r["n"]),
+                            lambda e: stripes.entry(e["item"]["tail"], e["n"]),
+                        )
+                    ).alias("stripe"),
+                ),
+            ),
+        )
+
+    # The words pass through a generator, or the lambdas would tokenize anew each time.
+    held = words.select(*keys, F.explode_outer(F.array("words")).alias("words"))
+    found = held.select(*keys, F.explode_outer(runs.bound(runs.counted(pairs), by_head)).alias("s"))
+    return found.where(F.col("s").isNotNull()).select(*keys, "s.head", "s.stripe")

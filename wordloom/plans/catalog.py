@@ -12,120 +12,168 @@ from wordloom.functions.tokens import normalized
 from wordloom.operators import counts, expand, profile, ranking, recap, stripes
 from wordloom.sources.lines import lines_of, read_lines
 from wordloom.sources.scratch import scratch_path
-from wordloom.sources.tables import read_table, spread
-from wordloom.sources.tsv import read_counts, read_pairs, write_tsv
+from wordloom.sources.tables import read_table
+from wordloom.sources.tsv import read_counts, read_stripes, write_tsv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Small enough that frequent heads of the test tables fill several parts.
 SMALL_PART_BYTES = 16 * 1024
+# The tables these queries are registered for are files of one row group, which one
+# task reads however many there are. The number is the same at every size; for
+# tables in many row groups leave it out, and nothing is shuffled before counting.
+ONE_ROW_GROUP = 16
 
 
-def _texts(
-    spark: SparkSession, folder: str, *keep: str, table: str = "documents", column: str = "text"
-) -> DataFrame:
-    return spread(read_table(spark, f"{folder}/{table}.parquet", *keep, column))
+def _texts(spark, folder, *keep, table="documents", column="text", partitions=None):
+    path = f"{folder}/{table}.parquet"
+    return read_table(spark, path, *keep, column, partitions=partitions)
 
 
-def _lines(
-    spark: SparkSession, folder: str, *keep: str, table: str = "documents", column: str = "text"
-) -> DataFrame:
-    return lines_of(_texts(spark, folder, *keep, table=table, column=column), column, *keep)
+def _lines(spark, folder, *keep, table="documents", column="text", partitions=None):
+    texts = _texts(spark, folder, *keep, table=table, column=column, partitions=partitions)
+    return lines_of(texts, column, *keep)
 
 
-def line_records(spark, folder):
-    return _lines(spark, folder, "doc_id")
+def line_records(spark, folder, partitions=None):
+    return _lines(spark, folder, "doc_id", partitions=partitions)
 
 
-def normalized_lines(spark, folder):
-    lines = _lines(spark, folder, "doc_id")
+def normalized_lines(spark, folder, partitions=None):
+    lines = _lines(spark, folder, "doc_id", partitions=partitions)
     return lines.select("doc_id", "line_no", normalized(F.col("line")).alias("normalized"))
 
 
-def tokens(spark, folder):
+def tokens(spark, folder, partitions=None):
     return expand.explode_positions(
-        _lines(spark, folder, "doc_id"), "line", "doc_id", "line_no"
+        _lines(spark, folder, "doc_id", partitions=partitions), "line", "doc_id", "line_no"
     )
 
 
-def word_count(spark, folder, table="documents", column="text"):
-    return counts.word_counts(_texts(spark, folder, table=table, column=column), column)
+def word_count(spark, folder, table="documents", column="text", partitions=None):
+    texts = _texts(spark, folder, table=table, column=column, partitions=partitions)
+    return counts.word_counts(texts, column)
 
 
-def total_word_count(spark, folder, table="documents", column="text"):
-    return counts.total_count(_texts(spark, folder, table=table, column=column), column)
+def total_word_count(spark, folder, table="documents", column="text", partitions=None):
+    texts = _texts(spark, folder, table=table, column=column, partitions=partitions)
+    return counts.total_count(texts, column)
 
 
-def ngram_pairs(spark, folder, n, table="documents", column="text"):
-    return counts.ngram_counts(_lines(spark, folder, table=table, column=column), n)
+def ngram_pairs(spark, folder, n, table="documents", column="text", partitions=None):
+    lines = _lines(spark, folder, table=table, column=column, partitions=partitions)
+    return counts.ngram_counts(lines, n)
 
 
-def cooccurrence_pairs(spark, folder):
-    return counts.pair_counts(_lines(spark, folder))
+def cooccurrence_pairs(spark, folder, partitions=None):
+    return counts.pair_counts(_lines(spark, folder, partitions=partitions))
 
 
-def ngram_head_tail(spark, folder, n):
-    return expand.head_tails(_lines(spark, folder, "doc_id"), n, "line", "doc_id", "line_no")
+def ngram_head_tail(spark, folder, n, partitions=None):
+    lines = _lines(spark, folder, "doc_id", partitions=partitions)
+    return expand.head_tails(lines, n, "line", "doc_id", "line_no")
 
 
-def head_tail_counts(spark, folder, n):
-    return counts.head_tail_counts(_lines(spark, folder), n)
+def head_tail_counts(spark, folder, n, table="documents", column="text", partitions=None):
+    lines = _lines(spark, folder, table=table, column=column, partitions=partitions)
+    return counts.head_tail_counts(lines, n)
 
 
-def ngram_stripes(spark, folder, n, part_bytes=stripes.PART_BYTES):
-    return stripes.stripe_texts(head_tail_counts(spark, folder, n), part_bytes)
+def ngram_stripes(
+    spark,
+    folder,
+    n,
+    part_bytes=stripes.PART_BYTES,
+    table="documents",
+    column="text",
+    partitions=None,
+):
+    entries = head_tail_counts(spark, folder, n, table, column, partitions)
+    return stripes.stripe_texts(entries, part_bytes)
 
 
-def line_stripes(spark, folder):
-    return stripes.line_stripes(_lines(spark, folder, "doc_id"), 2, "doc_id", "line_no")
-
-
-def word_count_by_document(spark, folder):
-    return counts.word_counts_by_split(_texts(spark, folder, "doc_id"), "doc_id", "text")
+def stripe_maps(spark, folder, partitions=None):
+    """The map view of stripes, laid out again as one row an entry."""
+    maps = stripes.stripe_maps(
+        head_tail_counts(spark, folder, 2, partitions=partitions), SMALL_PART_BYTES
+    )
+    return maps.select("head", "part", F.explode("stripe").alias("tail", "n"))
 
 
-def word_count_two_level(spark, folder):
-    return counts.merge_splits(word_count_by_document(spark, folder), "word")
+def line_stripes(spark, folder, n=2, partitions=None):
+    lines = _lines(spark, folder, "doc_id", partitions=partitions)
+    return stripes.line_stripes(lines, n, "doc_id", "line_no")
 
 
-def volume_profile(spark, folder, n):
-    return profile.volume_profile(_lines(spark, folder, "doc_id"), n, "doc_id")
+def word_count_by_document(spark, folder, partitions=None):
+    texts = _texts(spark, folder, "doc_id", partitions=partitions)
+    return counts.word_counts_by_row(texts, "doc_id", column="text")
 
 
-def stripe_profile(spark, folder, n):
-    return profile.stripe_profile(_lines(spark, folder, "doc_id"), n, "doc_id")
+def gram_totals(spark, folder, n, partitions=None):
+    return profile.gram_totals(_lines(spark, folder, partitions=partitions), n)
 
 
-def corpus_totals(spark, folder):
-    return profile.corpus_totals(word_count(spark, folder))
+def corpus_totals(spark, folder, partitions=None):
+    return profile.corpus_totals(word_count(spark, folder, partitions=partitions))
 
 
-def top_words(spark, folder):
-    return ranking.most_frequent(word_count(spark, folder))
+def top_words(spark, folder, partitions=None):
+    return ranking.most_frequent(word_count(spark, folder, partitions=partitions))
 
 
-def bottom_words(spark, folder):
-    return ranking.least_frequent(word_count(spark, folder))
+def bottom_words(spark, folder, partitions=None):
+    return ranking.least_frequent(word_count(spark, folder, partitions=partitions))
 
 
-def tsv_round_trip(spark, folder):
+def tsv_round_trip(spark, folder, partitions=None):
+    """Writes files when called, as a round trip through files must; the rows come from them."""
     path = scratch_path(spark, "word-count")
-    write_tsv(word_count(spark, folder), path, "word", "n", files=2)
+    write_tsv(word_count(spark, folder, partitions=partitions), path, "word", "n", files=2)
     return read_counts(spark, path)
 
 
-def stripes_tsv_round_trip(spark, folder):
+def stripes_tsv_round_trip(spark, folder, partitions=None):
+    """Writes files when called, as :func:`tsv_round_trip`; frequent heads fill several parts."""
     path = scratch_path(spark, "stripes")
-    write_tsv(ngram_stripes(spark, folder, 2), path, "head", "stripe", 2, ("part",))
-    return read_pairs(spark, path)
+    found = ngram_stripes(spark, folder, 2, SMALL_PART_BYTES, partitions=partitions)
+    write_tsv(found, path, "head", "part", "stripe", files=2)
+    return read_stripes(spark, path)
 
 
-def word_count_from_files(spark, folder):
+def word_count_from_files(spark, folder, partitions=None):
+    """Writes files when called, as :func:`tsv_round_trip`."""
     path = scratch_path(spark, "lines")
-    _lines(spark, folder).select("line").write.mode("errorifexists").text(path)
+    lines = _lines(spark, folder, partitions=partitions)
+    lines.select("line").write.mode("errorifexists").text(path)
     return counts.word_counts(read_lines(spark, path))
 
 
+def _count_files(spark, folder, partitions):
+    """A written count table in which the counts that 7 divides are no numbers.
+
+    Writes files when called, as :func:`tsv_round_trip`.
+    """
+    path = scratch_path(spark, "counts")
+    n = F.col("n").cast("string")
+    spoilt = F.when(F.col("n") % 7 == 0, F.concat(F.lit("n="), n)).otherwise(n)
+    found = word_count(spark, folder, partitions=partitions)
+    write_tsv(found.select("word", spoilt.alias("n")), path, "word", "n")
+    return read_counts(spark, path)
+
+
+def file_totals(spark, folder, partitions=None):
+    return profile.corpus_totals(_count_files(spark, folder, partitions))
+
+
+def file_top_words(spark, folder, partitions=None):
+    return ranking.most_frequent(_count_files(spark, folder, partitions))
+
+
+def file_bottom_words(spark, folder, partitions=None):
+    return ranking.least_frequent(_count_files(spark, folder, partitions))
+
+
 def run_recap(spark, folder):
     """``events`` as job runs: the type is the job, values above 100 are failed runs."""
     events = read_table(
@@ -159,7 +207,7 @@ def series_means(spark, folder):
 
 
 def queries() -> dict[str, Query]:
-    found: dict[str, Query] = {
+    texts: dict[str, Query] = {
         "word_count": word_count,
         "line_records": line_records,
         "normalized_lines": normalized_lines,
@@ -174,28 +222,33 @@ def queries() -> dict[str, Query]:
         "cooccurrence_stripes_in_parts": partial(
             ngram_stripes, n=2, part_bytes=SMALL_PART_BYTES
         ),
+        "cooccurrence_stripes_conversations": partial(
+            ngram_stripes, n=2, table="conversations"
+        ),
+        "stripe_maps": stripe_maps,
         "line_stripes": line_stripes,
+        "line_stripes_3": partial(line_stripes, n=3),
         "word_count_by_document": word_count_by_document,
-        "word_count_two_level": word_count_two_level,
-        "volume_profile": partial(volume_profile, n=1),
-        "volume_profile_3": partial(volume_profile, n=3),
-        "stripe_profile": partial(stripe_profile, n=2),
-        "stripe_profile_3": partial(stripe_profile, n=3),
+        "gram_totals_1": partial(gram_totals, n=1),
+        "gram_totals_3": partial(gram_totals, n=3),
         "tsv_round_trip": tsv_round_trip,
         "stripes_tsv_round_trip": stripes_tsv_round_trip,
         "word_count_from_files": word_count_from_files,
-        "run_recap": run_recap,
-        "series_means": series_means,
+        "file_totals": file_totals,
+        "file_top_words": file_top_words,
+        "file_bottom_words": file_bottom_words,
         "word_count_pages": partial(word_count, table="pages", column="html"),
         "word_count_conversations": partial(word_count, table="conversations"),
         "word_count_benchmark": partial(word_count, table="benchmark"),
         "total_word_count_pages": partial(total_word_count, table="pages", column="html"),
         "ngram_pairs_3_conversations": partial(ngram_pairs, n=3, table="conversations"),
+        "ngram_stripes_3_pages": partial(ngram_stripes, n=3, table="pages", column="html"),
     }
     for n in (2, 3, 5, 10):
-        found[f"ngram_pairs_{n}"] = partial(ngram_pairs, n=n)
+        texts[f"ngram_pairs_{n}"] = partial(ngram_pairs, n=n)
     for n in (3, 5, 10):
-        found[f"ngram_head_tail_{n}"] = partial(ngram_head_tail, n=n)
-        found[f"ngram_stripes_{n}"] = partial(ngram_stripes, n=n)
-    found["ngram_stripes_3_in_parts"] = partial(ngram_stripes, n=3, part_bytes=SMALL_PART_BYTES)
-    return found
+        texts[f"ngram_head_tail_{n}"] = partial(ngram_head_tail, n=n)
+        texts[f"ngram_stripes_{n}"] = partial(ngram_stripes, n=n)
+    texts["ngram_stripes_3_in_parts"] = partial(ngram_stripes, n=3, part_bytes=SMALL_PART_BYTES)
+    found = {name: partial(query, partitions=ONE_ROW_GROUP) for name, query in texts.items()}
+    return found | {"run_recap": run_recap, "series_means": series_means}

@@ -10,13 +10,13 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.functions.checks import at_least, window_size
 from wordloom.operators import counts, stripes
 from wordloom.sources.lines import read_lines
-from wordloom.sources.tsv import write_tsv
+from wordloom.sources.tsv import read_counts, read_stripes, write_tsv
 
 
 @dataclass(frozen=True)
@@ -24,28 +24,26 @@ class Job:
     """How to build a result from lines and a window, and which columns to write."""
 
     build: Callable[[DataFrame, int], DataFrame]
-    key: str
-    value: str
-    spread_by: tuple[str, ...] = ()
+    columns: tuple[str, ...]
 
 
 def _stripes(lines: DataFrame, n: int) -> DataFrame:
     return stripes.stripe_texts(counts.head_tail_counts(lines, n))
 
 
+STRIPE = ("head", "part", "stripe")
 JOBS = {
-    "word_count": Job(lambda lines, n: counts.word_counts(lines), "word", "n"),
-    "total_word_count": Job(lambda lines, n: counts.total_count(lines), "key", "n"),
-    "cooccurrence_pairs": Job(lambda lines, n: counts.pair_counts(lines), "gram", "n"),
-    "cooccurrence_stripes": Job(lambda lines, n: _stripes(lines, 2), "head", "stripe", ("part",)),
-    "ngram_pairs": Job(counts.ngram_counts, "gram", "n"),
-    "ngram_stripes": Job(_stripes, "head", "stripe", ("part",)),
+    "word_count": Job(lambda lines, n: counts.word_counts(lines), ("word", "n")),
+    "total_word_count": Job(lambda lines, n: counts.total_count(lines), ("key", "n")),
+    "cooccurrence_pairs": Job(lambda lines, n: counts.pair_counts(lines), ("gram", "n")),
+    "cooccurrence_stripes": Job(lambda lines, n: _stripes(lines, 2), STRIPE),
+    "ngram_pairs": Job(counts.ngram_counts, ("gram", "n")),
+    "ngram_stripes": Job(_stripes, STRIPE),
 }
 
 RUN_SCHEMA = (
-    "job string, run bigint, succeeded boolean, duration_ms bigint, window int, reducers int, "
-    "output string, map_input_records bigint, map_output_records bigint, "
-    "reduce_output_records bigint"
+    "job string, run bigint, duration_ms bigint, window int, reducers int, output string, "
+    "map_input_records bigint, map_output_records bigint, reduce_output_records bigint"
 )
 
 
@@ -56,55 +54,54 @@ def run_job(
     output_path: str,
     window: int = 2,
     reducers: int | None = None,
-    runs: int = 1,
+    run: int = 0,
     stats_path: str | None = None,
 ) -> DataFrame:
-    """Run a job ``runs`` times and return one row of statistics per run.
+    """Run a job and return a row of statistics; a job that fails raises.
 
-    Run ``k`` writes to ``output_path/output_run_<k>``, which must not exist.
+    The output goes to ``output_path/output_run_<run>``, which must not exist.
     ``reducers`` sets the number of output files; by default Spark keeps the
-    partitions of the count. ``stats_path`` is a Parquet table the rows are
-    appended to; :func:`wordloom.operators.recap.run_recap` reads it.
+    partitions of the count. ``stats_path`` is a Parquet table the row is appended
+    to.
 
-    The counters are observed while the output is written, without a pass of
-    their own. The emitted records are the sum of the counts; jobs whose value
-    is no count leave them null.
+    The counters are read from the input and from the written files, in passes of
+    their own that come after the time is taken: counters kept while a job runs
+    add up what repeated tasks have counted. The emitted records are the sum of
+    the counts, null for stripes; of these the heads are counted, not the parts.
     """
     if name not in JOBS:
         raise ValueError(f"unknown job {name!r}, expected one of {', '.join(JOBS)}")
     window_size(window)
-    at_least("runs", runs, 1)
+    at_least("run", run, 0)
     if reducers is not None:
         at_least("reducers", reducers, 1)
     job = JOBS[name]
-    rows = []
-    for run in range(runs):
-        output = f"{output_path.rstrip('/')}/output_run_{run}"
-        read, written = Observation(), Observation()
-        lines = read_lines(spark, input_path).observe(read, F.count("*").alias("lines"))
-        table = job.build(lines, window)
-        emitted = F.sum("n") if job.value == "n" else F.max(F.lit(None).cast("bigint"))
-        table = table.observe(written, F.count("*").alias("rows"), emitted.alias("emitted"))
-        start = time.monotonic()
-        write_tsv(table, output, job.key, job.value, reducers, job.spread_by)
-        millis = int((time.monotonic() - start) * 1000)
-        rows.append(
-            Row(
-                job=name,
-                run=run,
-                succeeded=True,
-                duration_ms=millis,
-                window=window,
-                reducers=reducers,
-                output=output,
-                map_input_records=read.get["lines"],
-                map_output_records=written.get["emitted"],
-                reduce_output_records=written.get["rows"],
-            )
-        )
-        if stats_path is not None:
-            spark.createDataFrame(rows[-1:], RUN_SCHEMA).write.mode("append").parquet(stats_path)
-    return spark.createDataFrame(rows, RUN_SCHEMA)
+    output = f"{output_path.rstrip('/')}/output_run_{run}"
+    table = job.build(read_lines(spark, input_path), window)
+    start = time.monotonic()
+    write_tsv(table, output, *job.columns, files=reducers)
+    millis = int((time.monotonic() - start) * 1000)
+    if job.columns == STRIPE:
+        heads = read_stripes(spark, output).agg(F.count_distinct("head").alias("n")).first()
+        emitted, kept = None, heads["n"]
+    else:
+        sums = read_counts(spark, output).agg(F.count("*").alias("k"), F.sum("n").alias("n"))
+        kept, emitted = sums.first()
+    row = Row(
+        job=name,
+        run=run,
+        duration_ms=millis,
+        window=window,
+        reducers=reducers,
+        output=output,
+        map_input_records=read_lines(spark, input_path).count(),
+        map_output_records=emitted,
+        reduce_output_records=kept,
+    )
+    stats = spark.createDataFrame([row], RUN_SCHEMA)
+    if stats_path is not None:
+        stats.write.mode("append").parquet(stats_path)
+    return stats
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -114,7 +111,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("output")
     parser.add_argument("--window", type=int, default=2)
     parser.add_argument("--reducers", type=int)
-    parser.add_argument("--runs", type=int, default=1)
+    parser.add_argument("--run", type=int, default=0)
     parser.add_argument("--stats")
     given = parser.parse_args(arguments)
     spark = SparkSession.builder.appName(given.job).getOrCreate()
@@ -125,7 +122,7 @@ def main(arguments: list[str] | None = None) -> None:
         given.output,
         given.window,
         given.reducers,
-        given.runs,
+        given.run,
         given.stats,
     ).show(truncate=False)
 

@@ -5,12 +5,12 @@ n-grams come from ``lead`` over the words of a line here, not from array slices.
 
 from __future__ import annotations
 
-from wordloom.functions.tokens import WORD
-from wordloom.functions.units import UNITS
-from wordloom.operators.stripes import PART_BYTES
-from wordloom.plans.catalog import SMALL_PART_BYTES
+# The library's fixed values once more, so that a wrong one there shows up here.
+UNITS = ("B", "KB", "MB", "GB", "TB")
+PART_BYTES = 4194304
+SMALL_PART_BYTES = 16384
 
-_WORD = WORD.replace("'", "''")
+_WORD = r"[\p{L}0-9](?:[\p{L}0-9''-]*[\p{L}0-9])?"
 _RAW_WORD = "[^ \\t\\n\\r\\f]+"
 
 
@@ -58,13 +58,21 @@ def _total(table: str, column: str) -> str:
     WHERE n > 0"""
 
 
-def _entries(n: int) -> str:
-    return _grams(n) + """,
+def _entries(
+    n: int, table: str = "documents", key: str = "doc_id", column: str = "text"
+) -> str:
+    return _grams(n, table, key, column) + """,
     entries AS (SELECT head, tail, count(*) AS n FROM grams GROUP BY head, tail)"""
 
 
-def _stripes(n: int, part_bytes: int = PART_BYTES) -> str:
-    return f"""WITH {_entries(n)},
+def _dealt(
+    n: int,
+    part_bytes: int = PART_BYTES,
+    table: str = "documents",
+    key: str = "doc_id",
+    column: str = "text",
+) -> str:
+    return f"""WITH {_entries(n, table, key, column)},
     sized AS (
         SELECT head, sum(strlen(tail) + length(n::VARCHAR) + 3) AS bytes
         FROM entries GROUP BY head),
@@ -72,29 +80,30 @@ def _stripes(n: int, part_bytes: int = PART_BYTES) -> str:
         SELECT head, tail, n, CASE WHEN bytes <= {part_bytes} THEN 0
             ELSE ('0x' || substr(md5(tail), 1, 8))::BIGINT % ceil(bytes / {part_bytes})::BIGINT
             END::BIGINT AS part
-        FROM entries JOIN sized USING (head))
-    SELECT head, part, string_agg(tail || ':' || n, ', ' ORDER BY tail) AS stripe
-    FROM dealt GROUP BY head, part"""
+        FROM entries JOIN sized USING (head))"""
 
 
-def _profile(n: int) -> str:
-    if n == 1:
-        return _counters(_words(), "SELECT id, word AS key FROM words")
-    return _counters(_grams(n), "SELECT id, head || ',' || tail AS key FROM grams")
+def _stripes(n: int, part_bytes: int = PART_BYTES, *of: str) -> str:
+    return f"""{_dealt(n, part_bytes, *of)}
+    SELECT head, part, string_agg(tail || ':' || n, ', ' ORDER BY tail) AS stripe
+    FROM dealt GROUP BY head, part"""
 
 
-def _stripe_profile(n: int) -> str:
-    return _counters(
-        _grams(n), "SELECT id, head AS key FROM (SELECT DISTINCT id, line_no, head FROM grams)"
-    )
+def _line_stripes(n: int) -> str:
+    return f"""WITH {_grams(n)},
+    counted AS (
+        SELECT id, line_no, head, tail, count(*) AS n FROM grams GROUP BY id, line_no, head, tail)
+    SELECT id AS doc_id, line_no, head,
+        string_agg(tail || ':' || n, ', ' ORDER BY tail) AS stripe
+    FROM counted GROUP BY id, line_no, head"""
 
 
-def _counters(rows: str, emitted: str) -> str:
-    return f"""WITH {rows}, emitted AS ({emitted})
-    SELECT 'map_input_records' AS counter, count(*) AS value FROM lines
-    UNION ALL SELECT 'map_output_records', count(*) FROM emitted
-    UNION ALL SELECT 'combine_output_records', count(*) FROM (SELECT DISTINCT id, key FROM emitted)
-    UNION ALL SELECT 'reduce_output_records', count(DISTINCT key) FROM emitted"""
+def _gram_totals(n: int) -> str:
+    rows = _words() if n == 1 else _grams(n)
+    gram = "word FROM words" if n == 1 else "head || ',' || tail FROM grams"
+    return f"""WITH {rows}, emitted(gram) AS (SELECT {gram})
+    SELECT (SELECT count(*) FROM lines) AS lines, count(*) AS grams,
+        count(DISTINCT gram) AS distinct_grams FROM emitted"""
 
 
 def _unit(value: str, rounded: str) -> str:
@@ -165,22 +174,24 @@ def oracle_sql() -> dict[str, str]:
         "cooccurrence_entries": f"WITH {_entries(2)} SELECT head, tail, n FROM entries",
         "cooccurrence_stripes": _stripes(2),
         "cooccurrence_stripes_in_parts": _stripes(2, SMALL_PART_BYTES),
-        "line_stripes": f"""WITH {_grams(2)},
-            counted AS (
-                SELECT id, line_no, head, tail, count(*) AS n
-                FROM grams GROUP BY id, line_no, head, tail)
-            SELECT id AS doc_id, line_no, head,
-                string_agg(tail || ':' || n, ', ' ORDER BY tail) AS stripe
-            FROM counted GROUP BY id, line_no, head""",
+        "cooccurrence_stripes_conversations": _stripes(
+            2, PART_BYTES, "conversations", "(conv_id, turn)"
+        ),
+        "ngram_stripes_3_pages": _stripes(3, PART_BYTES, "pages", "page_id", "html"),
+        "stripe_maps": f"{_dealt(2, SMALL_PART_BYTES)} SELECT head, part, tail, n FROM dealt",
+        "line_stripes": _line_stripes(2),
+        "line_stripes_3": _line_stripes(3),
         "word_count_by_document": by_document,
-        "word_count_two_level": f"""SELECT word, sum(n)::BIGINT AS n
-            FROM ({by_document}) GROUP BY word""",
-        "volume_profile": _profile(1),
-        "volume_profile_3": _profile(3),
-        "stripe_profile": _stripe_profile(2),
-        "stripe_profile_3": _stripe_profile(3),
+        "gram_totals_1": _gram_totals(1),
+        "gram_totals_3": _gram_totals(3),
         "tsv_round_trip": words,
-        "stripes_tsv_round_trip": f"SELECT head AS key, stripe AS value FROM ({_stripes(2)})",
+        "stripes_tsv_round_trip": _stripes(2, SMALL_PART_BYTES),
+        "file_totals": f"""SELECT count(*) AS words,
+            coalesce(sum(n) FILTER (n % 7 <> 0), 0)::BIGINT AS tokens FROM ({words})""",
+        "file_top_words": f"""SELECT * FROM ({words}) WHERE n % 7 <> 0
+            ORDER BY n DESC, word DESC LIMIT 10""",
+        "file_bottom_words": f"""SELECT * FROM ({words}) WHERE n % 7 <> 0
+            ORDER BY n, word LIMIT 10""",
         "word_count_from_files": words,
         "run_recap": _run_recap(),
         "series_means": _series_means(),

@@ -5,23 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_table(spark: SparkSession, path: str, *columns: str) -> DataFrame:
-    """The named columns of a Parquet table; only these are read from the files."""
-    return spark.read.parquet(path).select(*columns)
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal the rows of a small scan out over all cores.
-
-    A table written as one row group is read by one task however many cores
-    there are, and text counting is bound by CPU. A scan with more splits than
-    cores keeps them all busy and is returned as it is, so the rows dealt out
-    never exceed one read split per core: no large input is shuffled here.
-
-    ``scan`` must be a plain scan: counting the splits of a plan with shuffles
-    would run them.
+def read_table(
+    spark: SparkSession, path: str, *columns: str, partitions: int | None = None
+) -> DataFrame:
+    """The named columns of a Parquet table; only these are read from the files.
+
+    With ``partitions`` the rows are dealt out over so many tasks, which shuffles
+    them. That is for tables whose files hold one row group each, which only one
+    task can read however large it is; others are read in parallel as they are.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() > cores:
-        return scan
-    return scan.repartition(cores)
+    scan = spark.read.parquet(path).select(*columns)
+    return scan if partitions is None else scan.repartition(partitions)

@@ -1,4 +1,4 @@
-"""Tab-separated ``key TAB value`` files, sorted by key inside each file."""
+"""Tab-separated files of keys and a value, sorted by key inside each file."""
 
 from __future__ import annotations
 
@@ -11,30 +11,24 @@ from wordloom.functions.checks import at_least
 _EDGE_SPACE = r"^[\s\x1c-\x1f\x85\p{Z}]+|[\s\x1c-\x1f\x85\p{Z}]+$"
 
 
-def write_tsv(
-    table: DataFrame,
-    path: str,
-    key: str,
-    value: str,
-    files: int | None = None,
-    spread_by: tuple[str, ...] = (),
-) -> None:
-    """Write ``key TAB value`` lines; fail if ``path`` exists.
+def write_tsv(table: DataFrame, path: str, *columns: str, files: int | None = None) -> None:
+    """Write ``columns`` as tab-separated lines; fail if ``path`` exists.
 
-    With ``files`` the rows are hashed by key, and by ``spread_by`` where one
-    key has many rows, into that many files, less those no key falls into.
-    Without it the rows stay in the partitions they were counted in, which saves
-    a shuffle of the whole result; adaptive execution has then already merged
-    the small ones.
+    The last column is the value, those in front of it are the key, by which the
+    lines of a file are sorted. With ``files`` the rows are hashed by the key into
+    that many files, less those no key falls into. Without it the rows stay in the
+    partitions they were counted in, which saves a shuffle of the whole result;
+    adaptive execution has then already merged the small ones.
     """
+    keys = columns[:-1]
     if files is not None:
         at_least("files", files, 1)
         # Not on the bare columns: the table may be partitioned by them already,
         # Spark would then drop this step, and the number of files with it.
-        table = table.repartition(files, F.xxhash64(key, *spread_by))
-    line = F.concat_ws("\t", key, F.col(value).cast("string"))
+        table = table.repartition(files, F.xxhash64(*keys))
+    line = F.concat_ws("\t", *[F.col(c).cast("string") for c in columns])
     (
-        table.sortWithinPartitions(key, *spread_by)
+        table.sortWithinPartitions(*keys)
         .select(line.alias("value"))
         .write.mode("errorifexists")
         .text(path)
@@ -55,10 +49,11 @@ def read_counts(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_pairs(spark: SparkSession, path: str) -> DataFrame:
-    """``(key, value)`` as written, value as text: the form of stripe files."""
-    fields = spark.read.text(path).select(F.split("value", "\t", 2).alias("f"))
+def read_stripes(spark: SparkSession, path: str) -> DataFrame:
+    """``(head, part, stripe)`` as written; every stripe file holds all three."""
+    fields = spark.read.text(path).select(F.split("value", "\t", 3).alias("f"))
     return fields.select(
-        F.get("f", F.lit(0)).alias("key"),
-        F.get("f", F.lit(1)).alias("value"),
+        F.get("f", F.lit(0)).alias("head"),
+        F.get("f", F.lit(1)).cast("bigint").alias("part"),
+        F.get("f", F.lit(2)).alias("stripe"),
     )
