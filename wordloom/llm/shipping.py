@@ -1,4 +1,4 @@
-"""The package's code for Python workers that cannot import it by themselves."""
+"""What Python workers need: the package's code and batches of bounded size."""
 
 from __future__ import annotations
 
@@ -11,13 +11,20 @@ from pyspark.sql import SparkSession
 import wordloom
 
 _SENT = "_wordloom_sent"
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+# Spark's default of 10,000 whole texts in a batch is too much for a worker and the JVM.
+BATCH_ROWS = 512
 
 
 def send_code(spark: SparkSession) -> None:
-    """Give the package to the workers once per Spark application.
+    """Give the package to the workers once per Spark application, and bound their batches.
 
-    A driver that found it through its own ``sys.path`` has workers that do not.
+    A driver that found it through its own ``sys.path`` has workers that do not. The
+    session's limit of rows in an Arrow batch is lowered to ``BATCH_ROWS``; a lower one
+    stays.
     """
+    if not 0 < int(spark.conf.get(_ARROW_ROWS)) <= BATCH_ROWS:
+        spark.conf.set(_ARROW_ROWS, str(BATCH_ROWS))
     context = spark.sparkContext
     if getattr(context, _SENT, False):
         return
