@@ -82,7 +82,8 @@ def hits(
     """
     counted = windows.groupBy("length").agg(F.count("*").alias("n")).collect()  # a row a length
     lengths = sorted(row["length"] for row in counted)
-    if sum(row["n"] for row in counted) <= max_broadcast:
+    broadcast = sum(row["n"] for row in counted) <= max_broadcast
+    if broadcast:
         windows = F.broadcast(windows)
     split = docs.select(
         F.col(doc_id).alias("_id"), text_key(F.col(text)).alias("_key"),
@@ -100,6 +101,11 @@ def hits(
     inside = F.col("_start") + F.col("_length") - 1 <= F.size("_words")
     gram = F.slice("_words", F.col("_start"), F.col("_length"))
     looked_up = placed.where(inside).withColumn("_hash", F.xxhash64(gram))
+    if not broadcast:
+        # Rows that are shuffled hold the words of their window, not those of their text.
+        gram = F.col("_gram")
+        cut = F.slice("_words", F.col("_start"), F.col("_length")).alias("_gram")
+        looked_up = looked_up.select("_id", "_key", "_start", "_length", "_hash", cut)
     # Words are compared on a hit only: as an equality this would become a join
     # key, and every window of the corpus would be copied to build it.
     same_words = (F.col("gram") <= gram) & (F.col("gram") >= gram)
