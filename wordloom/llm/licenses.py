@@ -13,7 +13,8 @@ it while its size allows.
 Defined cases: a null or empty text has the empty form, which is no licence. A licence
 whose form is empty is left out; of licences with equal forms the first by name is
 reported. Repeated rows are answered each; lines of rows that repeat an id and a text
-are counted together. Other columns are passed through.
+are counted together. Other columns are passed through, but one with the name of an
+output column is replaced by it.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.llm.texts import text_key, unused
+from wordloom.llm.texts import replacing, text_key, unused
 
 # What counts as a copyright line, and spellings that mean the same.
 COPYRIGHT_LINE = (
@@ -153,6 +154,7 @@ def scan(
     license_as: str = "license",
 ) -> DataFrame:
     """``docs`` with the digest of each whole text and the licence it is, null for none."""
+    docs = replacing(docs, digest_as, license_as)
     wanted, found = unused(docs.columns, "known_digest"), unused(docs.columns, "known_license")
     table = digests(known_texts).select(F.col("digest").alias(wanted), F.col("license").alias(found))
     columns = [F.col(f"`{c}`") for c in docs.columns]

@@ -16,7 +16,7 @@ occurrence overlaps the first one, in a run of equal lines, only the lines behin
 first one go. A null text has no lines and stays null; a text that loses all its lines
 becomes empty and stays as a row. Rows that repeat an id and a text are one document
 and come out equal; null ids come first in the order. Other columns are passed
-through.
+through, but one with the name of an output column is replaced by it.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from wordloom.functions.checks import at_least
 from wordloom.llm import spans
-from wordloom.llm.texts import kept_pieces, text_key, unused
+from wordloom.llm.texts import kept_pieces, replacing, text_key, unused
 
 WINDOW = 3
 LINE_END = "\n"
@@ -88,6 +88,7 @@ def dedup_lines(
     removed_as: str = "n_removed",
 ) -> DataFrame:
     """``docs`` with later occurrences cut out of the texts, and the lines they had and lost."""
+    docs = replacing(docs, lines_as, removed_as)
     covered = spans.merged(repeated(windows(docs, n, doc_id, text)), ["_id", "_key"])
     id_as, key_as = unused(docs.columns, "cut_id"), unused(docs.columns, "cut_key")
     spans_as, body = unused(docs.columns, "cut"), F.col(f"`{text}`")

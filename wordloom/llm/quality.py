@@ -11,7 +11,8 @@ computed when first asked for and shared by the rules behind it.
 
 Defined cases: a null text is an empty one and fails for having too few words. A
 table without rows gives no rows, and the rules keep the order they were given
-in. Equal rows get equal verdicts; the columns of the table are passed through.
+in. Equal rows get equal verdicts. The columns of the table are passed through, but one
+with the name of an output column is replaced by it.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import types as T
 
 from wordloom.functions.checks import at_least
 from wordloom.llm.shipping import send_code
-from wordloom.llm.texts import bounded_sample, unused
+from wordloom.llm.texts import bounded_sample, replacing, unused
 
 # The white space that separates words, and what counts as a symbol.
 SPACES = " \t\n\x0b\x0c\r"
@@ -173,6 +174,7 @@ def judge(
     """
     send_code(docs.sparkSession)
     ordered = in_cascade_order(rules, measure_rules(docs, rules, doc_id, text, sample_rows))
+    docs = replacing(docs, *measures, kept_as)
     schema = T.StructType(
         docs.schema.fields
         + [T.StructField(m, T.LongType(), False) for m in measures]

@@ -12,8 +12,8 @@ Numbering is distributed: rows are sorted by ranges of id, numbered inside each
 and the sizes of the ranges in front are added.
 
 Defined cases: null ids come first; rows that share an id are ordered by a hash of the
-text, and equal rows are interchangeable. A null text has no bytes. A table without
-rows gives none.
+text, and equal rows are interchangeable. A table without rows gives none. Other columns
+are passed through, but one with the name of an output column is replaced by it.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from wordloom.functions.checks import at_least
 from wordloom.llm.shipping import send_code
-from wordloom.llm.texts import text_key, unused
+from wordloom.llm.texts import replacing, text_key, unused
 from wordloom.sources.scratch import written
 
 SHARDS = 8
@@ -103,6 +103,7 @@ def shard_rows(
     """``docs`` with the shard and the slot of each row."""
     at_least("shards", shards, 1)
     send_code(docs.sparkSession)
+    docs = replacing(docs, shard_as, slot_as)
     number = unused(docs.columns, "row_number")
     placed = numbered(docs, [F.col(doc_id), text_key(F.col(text))], number)
     rows = placed.count()

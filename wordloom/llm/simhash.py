@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from wordloom.llm.components import components
 from wordloom.llm.shipping import send_code
-from wordloom.llm.texts import text_key, unused
+from wordloom.llm.texts import replacing, text_key, unused
 from wordloom.sources.scratch import written
 
 BITS = 64
@@ -65,8 +65,9 @@ def fingerprint(text: str | None) -> int:
 
 
 def with_fingerprints(docs: DataFrame, text: str = "text", name: str = "fingerprint") -> DataFrame:
-    """``docs`` with a fingerprint as a signed 64-bit integer."""
+    """``docs`` with a fingerprint, a signed 64-bit integer, in place of a column of that name."""
     send_code(docs.sparkSession)
+    docs = replacing(docs, name)
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.LongType(), False)])
     at = docs.columns.index(text)
 

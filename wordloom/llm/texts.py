@@ -59,6 +59,12 @@ def unused(columns: Sequence[str], name: str) -> str:
     return name
 
 
+def replacing(table: DataFrame, *outputs: str) -> DataFrame:
+    """``table`` without the columns whose place output columns of the same name take."""
+    names = {name.lower() for name in outputs}
+    return table.drop(*[c for c in table.columns if c.lower() in names])
+
+
 def bounded_sample(table: DataFrame, rows: int, *columns: str) -> DataFrame:
     """At most ``rows`` rows of ``table``, spread over all of it by a hash of ``columns``.
 

@@ -22,7 +22,8 @@ Defined cases: a null or empty text has no words and gets the score of a text wi
 excess. Labels that are null or neither 0 nor 1 are not learned from; without labels of
 both classes every score is the share of toxic ones, 0.5 without any. A labelled id with
 several texts is learned from once, by the smallest text. A null id counts as an empty
-one in the choice of held-out rows. Other columns are passed through.
+one in the choice of held-out rows. Other columns are passed through, but one with the
+name of the score is replaced by it.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ from pyspark.sql import types as T
 
 from wordloom.llm.decontamination import words
 from wordloom.llm.shipping import send_code
-from wordloom.llm.texts import bounded_sample
+from wordloom.llm.texts import bounded_sample, replacing
 from wordloom.sources.scratch import written
 
 ORDER = 6
@@ -276,6 +277,7 @@ def _scored(texts: DataFrame, model: Model, name: str, last) -> DataFrame:
     spark = texts.sparkSession
     send_code(spark)
     shipped = spark.sparkContext.broadcast(model)  # bounded by the sample, see above
+    texts = replacing(texts, name)
     schema = T.StructType([*texts.schema.fields, T.StructField(name, T.DoubleType(), False)])
     at = texts.columns.index("text")
 
