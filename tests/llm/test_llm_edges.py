@@ -428,6 +428,7 @@ def test_permutations(rows):
     numbers = np.arange(rows)
     found = sharding.permuted(numbers, rows)
     assert sorted(found.tolist()) == numbers.tolist()
+    assert sharding.permuted(found, rows, inverse=True).tolist() == numbers.tolist()
     assert rows < 10 or found.tolist() != sharding.permuted(numbers, rows, "other").tolist()
 
 

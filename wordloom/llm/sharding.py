@@ -56,20 +56,32 @@ def half_of(rows: int) -> int:
     return half
 
 
-def permuted(numbers: np.ndarray, rows: int, key: str = KEY) -> np.ndarray:
-    """The permutation of ``0 .. rows-1`` that belongs to ``key``, at ``numbers``."""
+def permuted(
+    numbers: np.ndarray, rows: int, key: str = KEY, inverse: bool = False
+) -> np.ndarray:
+    """The permutation of ``0 .. rows-1`` that belongs to ``key``, or its inverse, at ``numbers``.
+
+    Row ``n`` goes to ``permuted([n])``; what stands at slot ``s`` of shard ``k`` is row
+    ``permuted([s * shards + k], inverse=True)``.
+    """
     half = half_of(rows)
     if half > PRIME:
         raise ValueError(f"{rows} rows are more than {PRIME**2}")
     keys = round_keys(key)
+
+    def mixed(part: np.ndarray, a: int, b: int, c: int) -> np.ndarray:
+        line = (part * a + b) % PRIME
+        return (line * line + c) % PRIME % half
+
     out = np.array(numbers, np.int64)
     walking = np.arange(len(out))
     while len(walking):
         left, right = out[walking] // half, out[walking] % half
-        for a, b, c in keys:
-            mixed = (right * a + b) % PRIME
-            mixed = (mixed * mixed + c) % PRIME % half
-            left, right = right, left ^ mixed
+        for round_key in keys[::-1] if inverse else keys:
+            if inverse:
+                left, right = right ^ mixed(left, *round_key), left
+            else:
+                left, right = right, left ^ mixed(right, *round_key)
         out[walking] = left * half + right
         walking = walking[out[walking] >= rows]
     return out
