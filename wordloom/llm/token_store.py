@@ -14,10 +14,11 @@ nothing else of its shard is decompressed. Documents stand in the order of their
 ids, over shards and inside them, so the index rows of an id are found by the
 minimum and maximum that Parquet keeps.
 
-Texts are encoded piece by piece. The tokenizers this is made for normalise, split and
-merge inside runs without white space only, so the ids of a text are those of its
-pieces; a piece that was seen before is looked up. ``tests/llm`` compares this with
-whole texts.
+Texts are encoded piece by piece where a tokenizer normalises, splits and merges inside
+runs without white space only: the ids of a text are then those of its pieces, and a
+piece that was seen before is looked up. New ASCII words go to the model of the
+tokenizer directly where its other steps only lower-case them. Probes tell such
+tokenizers from others, which get whole texts. ``tests/llm`` compares both ways.
 
 The dictionary is trained on a bounded sample (``SAMPLE_DOCS`` documents,
 ``SAMPLE_BYTES`` bytes of ids at most). It has no influence on what is
@@ -31,6 +32,7 @@ A table without rows makes a store without shards. Other columns are not stored.
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
 from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
@@ -55,9 +57,14 @@ LEVEL = 3
 SAMPLE_DOCS = 1000
 SAMPLE_BYTES = 32 * 1024 * 1024
 DICTIONARY_BYTES = 64 * 1024
-CACHED_PIECES = 600_000
+CACHED_PIECES = 400_000
 CACHED_LENGTH = 48
 READ_ROWS = 4096
+READ_BYTES = 32 * 1024 * 1024
+# A text of which the pieces are encoded alone only where white space has no ids.
+PROBE = "Well-known Words, 12 of them:\n\tthey're here,  (don't join) unbelievably."
+# The most frequent form of a piece: one word and a mark behind it.
+PLAIN = re.compile(rb"([A-Za-z]+)([.,]?)\Z")
 
 INDEX = (
     "shard int, ordinal bigint, doc_id {id}, file string, n_tokens bigint, before bigint, "
@@ -74,10 +81,33 @@ class Encoder:
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
+        self.marks = {m: np.array(self._encodes(m.decode()), "<u4").tobytes() for m in (b".", b",")}
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
-
-    def _learn(self, pieces: Sequence[bytes]) -> dict[bytes, bytes]:
+        pieces = [piece.encode() for piece in PROBE.split()]
+        alone = self._encoded(pieces)
+        whole = np.array(self._encodes(PROBE), "<u4").tobytes()
+        self.by_piece = b"".join(alone[p] for p in pieces) == whole
+        # Whether the model alone gives the ids of lower-cased ASCII words.
+        self.plain = all(
+            self._plain(*plain.groups(), {}) == alone[p]
+            for p in pieces
+            if (plain := PLAIN.match(p))
+        )
+
+    def _plain(self, word: bytes, mark: bytes, learned: dict[bytes, bytes]) -> bytes:
+        """Ids of an ASCII word and a mark behind it, by the tokenizer's model alone."""
+        word = word.lower()
+        ids = self.known.get(word) or self.older.get(word) or learned.get(word)
+        if ids is None:
+            found = [token.id for token in self.tokenizer.model.tokenize(word.decode())]
+            ids = learned[word] = np.array(found, "<u4").tobytes()
+        return ids + self.marks[mark] if mark else ids
+
+    def _encodes(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _encoded(self, pieces: Sequence[bytes]) -> dict[bytes, bytes]:
         """Ids of ``pieces``, each encoded by itself."""
         found = {}
         for at in range(0, len(pieces), 2048):
@@ -95,33 +125,42 @@ class Encoder:
         return found
 
     def encode(self, texts: Iterable[str | None]) -> list[bytes]:
-        split = [(text or "").encode().split() for text in texts]
-        new = []
-        for piece in set().union(*split):
-            if piece not in self.known:
-                held = self.older.get(piece)
-                if held is None:
-                    new.append(piece)
+        """The ids of each text."""
+        if not self.by_piece:
+            whole = self.tokenizer.encode_batch(
+                [text or "" for text in texts], add_special_tokens=False
+            )
+            return [np.array(e.ids, "<u4").tobytes() for e in whole]
+        rows, gaps, missing = [], [], set()
+        for text in texts:
+            pieces = (text or "").encode().split()
+            found = list(map(self.known.get, pieces))
+            at = [i for i, ids in enumerate(found) if ids is None]
+            missing.update([pieces[i] for i in at])
+            gaps.append([(i, pieces[i]) for i in at])
+            rows.append(found)
+        learned = self._learned(missing)
+        for found, at in zip(rows, gaps):
+            for i, piece in at:
+                found[i] = learned[piece]
+        return list(map(b"".join, rows))
+
+    def _learned(self, pieces: Iterable[bytes]) -> dict[bytes, bytes]:
+        """Ids of pieces that are not in the younger half of the cache, where they go."""
+        learned = {p: self.older[p] for p in pieces if p in self.older}
+        others = []
+        for piece in pieces:
+            if piece not in learned:
+                plain = PLAIN.match(piece) if self.plain else None
+                if plain:
+                    learned[piece] = self._plain(*plain.groups(), learned)
                 else:
-                    self.known[piece] = held
-        rare = self._learn([p for p in new if len(p) > CACHED_LENGTH])
-        self.known |= self._learn([p for p in new if len(p) <= CACHED_LENGTH])
-        both = _Both(self.known, rare) if rare else self.known
-        encoded = [b"".join(map(both.__getitem__, found)) for found in split]
-        if len(self.known) > CACHED_PIECES:
+                    others.append(piece)
+        learned |= self._encoded(others)
+        if len(self.known) + len(learned) > CACHED_PIECES:
             self.known, self.older = {}, self.known
-        return encoded
-
-
-class _Both:
-    """Two dictionaries read as one."""
-
-    def __init__(self, first: dict[bytes, bytes], second: dict[bytes, bytes]) -> None:
-        self.first, self.second = first, second
-
-    def __getitem__(self, key: bytes) -> bytes:
-        found = self.first.get(key)
-        return self.second[key] if found is None else found
+        self.known.update((p, ids) for p, ids in learned.items() if len(p) <= CACHED_LENGTH)
+        return learned
 
 
 @lru_cache(maxsize=1)
@@ -302,8 +341,12 @@ def read_ids(spark: SparkSession, folder: str, index: DataFrame) -> DataFrame:
         if file is not None:
             file.close()
 
+    # A number of tasks from the bytes to be read: the index rows themselves are few and
+    # small, and adaptive execution would merge them into very few tasks.
+    size = index.agg(F.sum("length").alias("n")).first()["n"]
+    tasks = 1 + int(size or 0) // READ_BYTES
     stretch = F.floor(F.col("ordinal") / READ_ROWS)
-    dealt = index.repartition("shard", stretch).sortWithinPartitions("shard", "ordinal")
+    dealt = index.repartition(tasks, "shard", stretch).sortWithinPartitions("shard", "ordinal")
     kind = index.schema["doc_id"].dataType.simpleString()
     return dealt.select("doc_id", "start", "n_tokens", "file", "offset", "length").mapInArrow(
         read, f"doc_id {kind}, start bigint, n_tokens bigint, ids binary"
