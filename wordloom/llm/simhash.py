@@ -206,6 +206,14 @@ def keep_one(
     chosen = written(
         rows.groupBy("root").agg(F.min("key").alias("key"), first.alias("row")), "kept"
     )
+    return kept_rows(docs, chosen, doc_id, text)
+
+
+def kept_rows(docs: DataFrame, chosen: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The rows of ``docs`` that ``chosen`` names by ``row.doc_id`` and ``key``, each once.
+
+    ``row.n`` is how many rows of ``docs`` have that id and text.
+    """
     id_as, key_as = unused(docs.columns, "kept_id"), unused(docs.columns, "kept_key")
     wanted = chosen.select(F.col("row.doc_id").alias(id_as), F.col("key").alias(key_as))
     same = F.col(f"`{doc_id}`").eqNullSafe(F.col(id_as))
