@@ -1,0 +1,27 @@
+"""Whole licence files as they lie about, with titles, other lists and named holders."""
+
+from pathlib import Path
+
+from wordloom.llm import licenses
+
+FILES = Path(licenses.__file__).parent / "license_texts"
+
+
+def test_full_texts_titles_lists_and_holders_are_known(spark):
+    texts = {}
+    for name, text in licenses.LICENSES:
+        texts.setdefault(name, text)
+    bsd, isc = texts["BSD-3-Clause"], texts["ISC"]
+    named = bsd.replace("the copyright holder nor", "Example Inc. nor")
+    named = named.replace("THE COPYRIGHT HOLDERS AND CONTRIBUTORS", "EXAMPLE INC. AND CONTRIBUTORS")
+    named = named.replace("THE COPYRIGHT HOLDER OR", "EXAMPLE INC. OR")
+    stars = bsd.replace("1. ", " * ").replace("2. ", " * ").replace("3. ", " * ")
+    cases = [(f.stem, f.read_text()) for f in FILES.glob("*.txt")]
+    cases += [("BSD-3-Clause", f"BSD 3-Clause License\n\nCopyright (c) 2001, X\n{bsd}")]
+    cases += [("BSD-3-Clause", named), ("BSD-3-Clause", stars), ("ISC", f"ISC License\n\n{isc}")]
+    cases += [("BSD-2-Clause", f"BSD 2-Clause License\n\n{texts['BSD-2-Clause']}")]
+    cases += [(None, "ISC License"), (None, named + " And more."), (None, "MIT License\nfor all")]
+    table = spark.createDataFrame(cases, "wanted string, text string")
+    got = licenses.scan(table, licenses.known(spark)).collect()
+    assert len(cases) > 15 and len(got) == len(cases)
+    assert [(r.wanted, r.license) for r in got if r.wanted != r.license] == []

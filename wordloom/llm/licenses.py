@@ -4,10 +4,12 @@ A text and the known licences are brought to one canonical form: lower case, wit
 copyright lines, with one spelling of words that have several, and with every run of
 other characters than letters and digits as one space. Two texts are the same licence
 if their canonical forms are equal, which a hash join on the SHA-256 of the form
-decides. The same lookup on single lines finds the notices that texts carry.
+decides. For whole texts the form is made coarser before it is hashed: a title in
+front, numbers of list items and the named holders of BSD terms are no difference.
+The lookup on single lines, by the plain form, finds the notices that texts carry.
 
-The known licences are a table ``(license, text)``; :func:`known` holds short ones
-and customary notices. It is joined by digest without a hint: the planner broadcasts
+The known licences are a table ``(license, text)``; :func:`known` holds common ones
+in full and customary notices. It is joined by digest without a hint: the planner broadcasts
 it while its size allows.
 
 Defined cases: a null or empty text has the empty form, which is no licence. A licence
@@ -19,6 +21,8 @@ output column is replaced by it.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,6 +91,21 @@ NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPO
 NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM,
 DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT
 OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+END_OF_TERMS = "END OF TERMS AND CONDITIONS"
+
+
+def _full_texts() -> tuple[tuple[str, str], ...]:
+    """The long licences, each whole and without what follows its terms."""
+    found = []
+    for file in sorted((Path(__file__).parent / "license_texts").glob("*.txt")):
+        text = file.read_text()
+        found.append((file.stem, text))
+        terms, end, _ = text.partition(END_OF_TERMS)
+        if end:
+            found += [(file.stem, terms + end), (file.stem, terms)]
+    return tuple(found)
+
+
 LICENSES = (
     ("0BSD", f"{_PERMISSION}.{_ISC_WARRANTY}"),
     ("BSD-2-Clause", f"{_BSD_TERMS}{_BSD_WARRANTY}"),
@@ -99,6 +118,23 @@ LICENSES = (
     ("MIT", _MIT),
     ("MIT", f"MIT License{_MIT}"),
     ("MIT", f"The MIT License (MIT){_MIT}"),
+    *_full_texts(),
+)
+
+# What makes no difference between canonical forms of whole texts.
+TITLE = (
+    r"^(?:the )?(?:(?:new |modified |revised |simplified )?(?:bsd (?:[23]|two|three) clause"
+    r"|[23] clause bsd|isc|mit|bsd zero clause|zero clause bsd) license"
+    r"|(?:new|modified|revised|simplified) bsd license|0bsd)(?: (?:mit|isc))?(?: |$)"
+)
+HOLDERS = (
+    (r" (?:[1-3]|[a-c]|i{1,3}) (redistributions (?:of|in)|neither the names?) ", " $1 "),
+    (
+        r" neither the names? of .{1,300}? nor the names of (?:its|their|any|other)? ?contributors may ",
+        " neither the name of holder nor the names of its contributors may ",
+    ),
+    (r" provided by .{1,200}? as is and any express ", " provided by holder as is and any express "),
+    (r" in no event shall .{1,200}? be liable ", " in no event shall holder be liable "),
 )
 NOTICES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -117,7 +153,7 @@ NOTICES = (
 
 
 def known(spark: SparkSession) -> DataFrame:
-    """``(license, text)`` of the short licences and notices above."""
+    """``(license, text)`` of the licences and notices above."""
     names, texts = zip(*(LICENSES + NOTICES))
     # An Arrow table becomes a local relation, whose size the planner knows.
     return spark.createDataFrame(pa.table({"license": list(names), "text": list(texts)}))
@@ -136,12 +172,25 @@ def digest(text: Column) -> Column:
     return F.sha2(canonical(text), 256)
 
 
+def matched(form: Column) -> Column:
+    """The canonical ``form`` of a whole text without the differences that are none."""
+    terms = F.regexp_replace(form, TITLE, "")
+    bsd = terms
+    for pattern, one in HOLDERS:
+        bsd = F.regexp_replace(bsd, pattern, one)
+    return F.when(terms.startswith("redistribution and use in source and binary forms"), bsd).otherwise(
+        terms
+    )
+
+
 EMPTY = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
 
 
-def digests(known_texts: DataFrame) -> DataFrame:
-    """``(digest, license)``, one row per canonical form."""
-    found = known_texts.select(digest(F.col("text")).alias("digest"), "license")
+def digests(known_texts: DataFrame, whole: bool = False) -> DataFrame:
+    """``(digest, license)``, one row per canonical form, or per form that ``whole`` texts match."""
+    form = canonical(F.col("text"))
+    hashed = F.sha2(matched(form) if whole else form, 256)
+    found = known_texts.select(hashed.alias("digest"), "license")
     found = found.where(F.col("digest") != EMPTY)
     return found.groupBy("digest").agg(F.min("license").alias("license"))
 
@@ -156,10 +205,18 @@ def scan(
     """``docs`` with the digest of each whole text and the licence it is, null for none."""
     docs = replacing(docs, digest_as, license_as)
     wanted, found = unused(docs.columns, "known_digest"), unused(docs.columns, "known_license")
-    table = digests(known_texts).select(F.col("digest").alias(wanted), F.col("license").alias(found))
+    table = digests(known_texts, whole=True).select(
+        F.col("digest").alias(wanted), F.col("license").alias(found)
+    )
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    hashed = docs.select(*columns, digest(F.col(f"`{text}`")).alias(digest_as))
-    joined = hashed.join(table, F.col(digest_as) == F.col(wanted), "left")
+    form, match = unused(docs.columns, "canonical_form"), unused(docs.columns, "match_digest")
+    formed = docs.select(*columns, canonical(F.col(f"`{text}`")).alias(form))
+    hashed = formed.select(
+        *columns,
+        F.sha2(F.col(form), 256).alias(digest_as),
+        F.sha2(matched(F.col(form)), 256).alias(match),
+    )
+    joined = hashed.join(table, F.col(match) == F.col(wanted), "left")
     return joined.select(*columns, digest_as, F.col(found).alias(license_as))
 
 
