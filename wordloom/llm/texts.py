@@ -66,14 +66,16 @@ def replacing(table: DataFrame, *outputs: str) -> DataFrame:
 
 
 def bounded_sample(table: DataFrame, rows: int, *columns: str) -> DataFrame:
-    """At most ``rows`` rows of ``table``, spread over all of it by a hash of ``columns``.
+    """The ``rows`` rows of ``table`` with the smallest hashes of ``columns``, or all of fewer.
 
-    The hash lets about four times as many through as are wanted, so the limit has
-    few rows to choose from, however large the table and however many its tasks.
+    The hash lets about four times as many through as are wanted, so few rows are sorted,
+    however large the table and however many its tasks. Rows of equal hashes are chosen by
+    ``columns``, so the sample is the same in every run.
     """
     n = table.count()
     if n <= rows:
         return table
     scale = 1 << 40
     share = min(scale, -(-4 * rows * scale // n))
-    return table.where(F.pmod(F.xxhash64(*columns), F.lit(scale)) < share).limit(rows)
+    at = F.pmod(F.xxhash64(*columns), F.lit(scale))
+    return table.where(at < share).orderBy(at, *columns).limit(rows)
