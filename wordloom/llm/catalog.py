@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wordloom.functions.runs import bound
 from wordloom.llm import (
     decontamination,
     licenses,
     line_dedup,
     mixing,
+    periodic,
     quality,
     sharding,
     simhash,
@@ -20,6 +22,7 @@ from wordloom.llm import (
     toxicity,
     warc,
 )
+from wordloom.llm.texts import SPACED_WORD
 from wordloom.sources.scratch import scratch_path
 from wordloom.sources.tables import read_table
 
@@ -144,6 +147,43 @@ def toxicity_scores(spark, folder):
     )
 
 
+def _with_planted_runs(docs):
+    """``(doc_id, text)``; by the hash of its id, a tenth of the documents repeats a part to its end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+
+    def repeated(words):
+        n = F.size(words).cast("bigint")
+        g = F.expr("h div 10")
+        a = g % n
+        p = 1 + F.call_function("div", n - a, 3 + g % 8)
+        found = F.transform(
+            F.sequence(F.lit(0), F.size(words) - 1),
+            lambda i: F.get(words, F.when(i < a, i).otherwise((a + (i - a) % p).cast("int"))),
+        )
+        return F.when(n > 0, F.array_join(found, " "))
+
+    words = F.regexp_extract_all("text", F.lit(SPACED_WORD), 0)
+    return docs.withColumn("h", h).select(
+        "doc_id", F.when(F.col("h") % 10 == 0, bound(words, repeated)).otherwise(F.col("text")).alias("text")
+    )
+
+
+def periodic_runs(spark, folder):
+    found = periodic.with_runs(_with_planted_runs(_table(spark, folder, "documents", "doc_id", "text")))
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    best = found.withColumn("best", periodic.strongest(F.col("runs")))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": decontamination_report,
@@ -156,4 +196,5 @@ def queries() -> dict[str, Query]:
         "op8_license_scan": license_scan,
         "op9_warc": warc_round_trip,
         "op10_sharding": sharded,
+        "op11_periodic_runs": periodic_runs,
     }
