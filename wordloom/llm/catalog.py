@@ -14,7 +14,9 @@ from wordloom.llm import (
     licenses,
     line_dedup,
     mixing,
+    neighbours,
     periodic,
+    phrases,
     quality,
     sharding,
     simhash,
@@ -184,6 +186,15 @@ def periodic_runs(spark, folder):
     )
 
 
+def nearest_vectors(spark, folder):
+    vectors = _table(spark, folder, "embeddings", "vec_id", "embedding")
+    return neighbours.nearest(vectors.where(F.col("vec_id") % 20 == 0), vectors)
+
+
+def phrase_collocations(spark, folder):
+    return phrases.collocations(_table(spark, folder, "documents", "text", "lang"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": decontamination_report,
@@ -197,4 +208,6 @@ def queries() -> dict[str, Query]:
         "op9_warc": warc_round_trip,
         "op10_sharding": sharded,
         "op11_periodic_runs": periodic_runs,
+        "op12_nearest_vectors": nearest_vectors,
+        "op13_phrase_collocations": phrase_collocations,
     }

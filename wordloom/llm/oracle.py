@@ -185,6 +185,40 @@ def _warc() -> str:
     FROM ranked"""
 
 
+def _collocations() -> str:
+    """Every n-gram of a piece by position, counted as text; cuts and containment by joins."""
+    return rf"""WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+        FROM (SELECT lang, unnest(string_split_regex({_LOWER.format('text')}, '[.,;:!?\x0A-\x0D]')) AS piece
+              FROM documents)),
+    totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+    grams AS (
+        SELECT lang, k, array_to_string(w[s:s + k - 1], ' ') AS phrase
+        FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM pieces, (VALUES (1), (2), (3)) AS sizes(k))),
+    counted AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 10),
+    cuts AS (
+        SELECT lang, k, phrase, f, j, array_to_string(string_split(phrase, ' ')[1:j], ' ') AS head,
+            array_to_string(string_split(phrase, ' ')[j + 1:], ' ') AS tail
+        FROM counted, (VALUES (1), (2)) AS places(j) WHERE j < k),
+    shares AS (
+        SELECT c.lang, c.k, c.phrase, c.f AS a, c.j, x.f AS l, y.f AS r,
+            1000000::HUGEINT * c.f * c.f // (x.f::HUGEINT * y.f) AS score
+        FROM cuts c JOIN counted x ON x.lang = c.lang AND x.phrase = c.head
+        JOIN counted y ON y.lang = c.lang AND y.phrase = c.tail),
+    lowest AS (
+        SELECT * FROM shares QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+    halves AS (
+        SELECT lang, array_to_string(string_split(phrase, ' ')[1:2], ' ') AS phrase, f FROM counted WHERE k = 3
+        UNION ALL SELECT lang, array_to_string(string_split(phrase, ' ')[2:3], ' '), f FROM counted WHERE k = 3),
+    kept AS (
+        SELECT * FROM lowest c WHERE NOT EXISTS (
+            SELECT 1 FROM halves h WHERE h.lang = c.lang AND h.phrase = c.phrase AND 100 * h.f >= 50 * c.a)),
+    ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+    SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score
+    FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_decontamination": _decontamination(),
@@ -193,4 +227,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_quality_rules": _quality(),
         "op8_license_scan": _licenses(),
         "op9_warc": _warc(),
+        "op13_phrase_collocations": _collocations(),
     }
