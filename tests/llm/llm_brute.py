@@ -110,6 +110,34 @@ def groups(prints, radius=2):
     return [root(i) for i in range(len(prints))]
 
 
+def shingles(text, width=5):
+    words = SPACED.findall(ascii_lower(text))
+    return frozenset(zip(*[words[i:] for i in range(min(width, len(words)))]))
+
+
+def near(a, b):
+    """Two sets of shingles at a Jaccard similarity of 0.8 or more."""
+    return a == b or 5 * len(a & b) >= 4 * len(a | b)
+
+
+def near_groups(texts):
+    """The smallest index of the component of near copies of each position, over all pairs."""
+    sets = [shingles(t) for t in texts]
+    parent = list(range(len(sets)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 5 * min(len(a), len(sets[j])) >= 4 * max(len(a), len(sets[j])) and near(a, sets[j]):
+                x, y = root(i), root(j)
+                parent[max(x, y)] = min(x, y)
+    return [root(i) for i in range(len(sets))]
+
+
 def quality_weight(text):
     text = text or ""
     lines = [x for x in text.split("\n") if x.rstrip(" \t\r").strip() or x.rstrip(" \t\r")]
