@@ -144,7 +144,7 @@ def test_threshold_and_the_share_of_verified_rows():
     asked = np.arange(0, 4000, 100)
     best = [neighbours.Best.none(10) for _ in asked]
     verified = neighbours.search_block(block, asked, np.zeros(len(asked), bool), vectors[asked], best)
-    assert verified < 0.05 * len(asked) * 4000
+    assert verified < 0.1 * len(asked) * 4000
     hit = 0
     for q, found in zip(asked, best):
         scores = vectors @ vectors[q]

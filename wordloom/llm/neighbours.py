@@ -11,6 +11,11 @@ on the vectors themselves, in double precision, and a query is done when its ``k
 nearer than the radius of its windows. Windows end at the whole line, so that a query with
 few candidates gets all of them.
 
+The windows are wide: a neighbour lies outside of few, other vectors outside of more, and
+where a window holds over half of a line, what lies outside is counted instead. The first
+radius is one that the best rows so far are known to fit in, or one step less than the query before
+needed; a first radius that is too large costs verifications, and no row.
+
 Inner products become distances by a further coordinate: a vector ``x`` of a block whose
 longest has norm ``M`` stands for ``(x, sqrt(M^2 - |x|^2)) / M`` and a query for ``(q, 0) / |q|``,
 which are ``sqrt(2 - 2 q.x / (M |q|))`` apart.
@@ -42,12 +47,12 @@ from wordloom.llm.shipping import send_code
 from wordloom.sources.scratch import written
 
 PROJECTIONS = 128
-HALF_WIDTH = 1.36
-MISSED = 0.01
+HALF_WIDTH = 2.0
+MISSED = 0.02
 STEP = 1.08
 RADII = np.append(2.0 * STEP ** -np.arange(32.0, -1, -1), np.inf)  # 2 is as far as can be
-BLOCK, CHUNK = 8192, 128
-BLOCKS_A_TILE, CHUNKS_A_TILE = 8, 8
+BLOCK, CHUNK = 8192, 256
+BLOCKS_A_TILE, CHUNKS_A_TILE = 4, 4
 SEED = 42
 
 
@@ -122,40 +127,93 @@ class Best:
         self.score, self.no_id, self.ids = score[first], no_id[first], ids[first]
 
 
+class Windows:
+    """The windows of some queries on the lines of a block, step by step."""
+
+    def __init__(self, block: Block, at: np.ndarray) -> None:
+        self._block, self._at = block, at
+        self._known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def at(self, step: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where the windows of each query begin and end on each line."""
+        if step not in self._known:
+            reach = HALF_WIDTH * RADII[step]
+            lows, highs = (
+                np.column_stack(
+                    [
+                        np.searchsorted(places, own + shift, side)
+                        for places, own in zip(self._block.places, self._at.T)
+                    ]
+                )
+                for shift, side in ((-reach, "left"), (reach, "right"))
+            )
+            self._known[step] = lows, highs
+        return self._known[step]
+
+    def first(self, query: int, least: int) -> int:
+        """The first step whose windows hold ``least`` places in all, by bisection."""
+        low, high = 0, len(RADII) - 1
+        while low < high:
+            middle = (low + high) // 2
+            lows, highs = self.at(middle)
+            if (highs[query] - lows[query]).sum() >= least:
+                high = middle
+            else:
+                low = middle + 1
+        return low
+
+    def collisions(self, query: int, step: int) -> np.ndarray:
+        """For each vector, the number of windows of ``query`` it lies in."""
+        lows, highs = (edges[query] for edges in self.at(step))
+        n = len(self._block.ids)
+        wide = 2 * (highs - lows) > n
+        rows = list(zip(self._block.order, lows.tolist(), highs.tolist(), wide.tolist()))
+        parts = [row[low:high] for row, low, high, out in rows if not out]
+        counts = np.bincount(np.concatenate(parts), minlength=n) if parts else np.zeros(n, np.int64)
+        parts = [row[:low] for row, low, _, out in rows if out]
+        parts += [row[high:] for row, _, high, out in rows if out]
+        if parts:
+            counts -= np.bincount(np.concatenate(parts), minlength=n)
+        return counts + int(wide.sum())
+
+    def further(self, query: int, step: int) -> np.ndarray:
+        """What ``step`` adds to the collisions of the step before."""
+        (old_lows, old_highs), (lows, highs) = (
+            tuple(edges[query].tolist() for edges in self.at(s)) for s in (step - 1, step)
+        )
+        parts = [row[a:b] for row, a, b in zip(self._block.order, lows, old_lows)]
+        parts += [row[a:b] for row, a, b in zip(self._block.order, old_highs, highs)]
+        return np.bincount(np.concatenate(parts), minlength=len(self._block.ids))
+
+
 def search_block(
     block: Block, query_ids: np.ndarray, no_query_id: np.ndarray, queries: np.ndarray, best: list[Best]
 ) -> int:
     """Add what ``queries`` find in ``block`` to ``best``; returns how many rows were verified."""
-    n, lengths, verified = len(block.ids), _norms(queries), 0
+    lengths, verified, last = _norms(queries), 0, None
     at = (queries / lengths[:, None]) @ _lines(queries.shape[1])[:-1]
-    reach = HALF_WIDTH * RADII
-    lows = np.empty((len(queries), len(RADII), PROJECTIONS), np.int64)
-    highs = np.empty_like(lows)
-    for i in range(PROJECTIONS):
-        lows[:, :, i] = np.searchsorted(block.places[i], at[:, i, None] - reach, "left")
-        highs[:, :, i] = np.searchsorted(block.places[i], at[:, i, None] + reach, "right")
-    held = (highs - lows).sum(axis=2)
+    windows = Windows(block, at.astype(np.float32))
     # A row within the radius of a step scores at least this.
     floors = block.longest * lengths[:, None] * (1 - np.square(RADII) / 2)
     for q, found in enumerate(best):
-        # Before: too few collisions for k candidates, and no radius that is known to do.
-        step = int(np.argmax((held[q] >= found.k * THRESHOLD) | (floors[q] <= found.least)))
-        if held[q, step] < found.k * THRESHOLD and floors[q, step] > found.least:
-            step = len(RADII) - 1
-        counts, seen = np.zeros(n, np.int64), np.zeros(n, bool)
-        low, high = lows[q, step], lows[q, step]
-        own = np.zeros(n, bool) if no_query_id[q] else (block.ids == query_ids[q]) & ~block.no_id
-        for step in range(step, len(RADII)):
-            new_low, new_high = lows[q, step], highs[q, step]
-            parts = [row[a:b] for row, a, b in zip(block.order, new_low, low)]
-            parts += [row[a:b] for row, a, b in zip(block.order, high, new_high)]
-            counts += np.bincount(np.concatenate(parts), minlength=n)
-            low, high = new_low, new_high
+        if found.least > -np.inf:
+            start = int(np.argmax(floors[q] <= found.least))
+        elif last is not None:
+            start = max(0, last - 1)
+        else:
+            start = windows.first(q, found.k * THRESHOLD)
+        seen = np.zeros(len(block.ids), bool)
+        if not no_query_id[q]:
+            seen |= (block.ids == query_ids[q]) & ~block.no_id
+        counts = windows.collisions(q, start)
+        for step in range(start, len(RADII)):
+            if step > start:
+                counts += windows.further(q, step)
             fresh = np.flatnonzero((counts >= THRESHOLD) & ~seen)
             seen[fresh] = True
-            fresh = fresh[~own[fresh]]
             verified += len(fresh)
             found.add(block.vectors[fresh] @ queries[q], block.no_id[fresh], block.ids[fresh])
+            last = step
             if found.least >= floors[q, step]:
                 break
     return verified
