@@ -1,11 +1,13 @@
 import os
+import subprocess
+import sys
 
 import brute
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from wordloom.operators import counts, recap, stripes
+from wordloom.operators import recap
 from wordloom.plans import jobs
 from wordloom.plans.jobs import JOBS, main, run_job
 from wordloom.sources.tsv import read_counts, read_stripes
@@ -40,9 +42,9 @@ def test_count_jobs(spark, corpus, tmp_path, name, window, expected, reducers):
     stats = run_job(spark, name, corpus, out, window, reducers).first()
     got = {r.word: r.n for r in read_counts(spark, f"{out}/output_run_0").collect()}
     assert got == expected
-    assert stats.map_input_records == len(LINES)
-    assert stats.map_output_records == sum(expected.values())
-    assert stats.reduce_output_records == len(expected)
+    assert stats.lines_read == len(LINES)
+    assert stats.items_counted == sum(expected.values())
+    assert stats.groups_written == len(expected)
 
 
 @pytest.mark.parametrize("name, window, n", [("cooccurrence_stripes", 4, 2), ("ngram_stripes", 3, 3)])
@@ -57,21 +59,127 @@ def test_stripe_jobs(spark, corpus, tmp_path, name, window, n):
         for head, found in brute.stripe_counts(LINES, n).items()
     }
     assert got == expected
-    assert stats.map_input_records == len(LINES)
-    assert stats.reduce_output_records == len(expected)
+    assert stats.lines_read == len(LINES)
+    assert stats.items_counted == sum(sum(found.values()) for found in brute.stripe_counts(LINES, n).values())
+    assert stats.groups_written == len(expected)
 
 
 def test_stripe_jobs_count_heads_and_keep_parts(spark, corpus, tmp_path, monkeypatch):
-    monkeypatch.setattr(
-        jobs, "_stripes", lambda lines, n: stripes.stripe_texts(counts.head_tail_counts(lines, n), 5)
-    )
-    monkeypatch.setitem(JOBS, "ngram_stripes", jobs.Job(jobs._stripes, jobs.STRIPE))
+    small = jobs._stripe_job(lambda lines, n: jobs._stripes(lines, n, 5))
+    monkeypatch.setitem(JOBS, "ngram_stripes", small)
     out = str(tmp_path / "out")
     stats = run_job(spark, "ngram_stripes", corpus, out).first()
     rows = read_stripes(spark, f"{out}/output_run_0").collect()
     expected = brute.stripe_counts(LINES, 2)
-    assert len(rows) > len(expected) == stats.reduce_output_records
+    assert len(rows) > len(expected) == stats.groups_written
     assert len({(r.head, r.part) for r in rows}) == len(rows)
+    assert stats.items_counted == sum(sum(found.values()) for found in expected.values())
+
+
+def test_statistics_come_with_the_write(spark, corpus, tmp_path, monkeypatch):
+    """The input is read by one scan, and the output by none."""
+    scans, write = [], jobs.write_tsv
+
+    def watched(table, path, *columns, files=None, last=None):
+        def seen(rows):
+            out = last(rows)
+            scans.append(out._jdf.queryExecution().executedPlan().toString())
+            return out
+
+        write(table, path, *columns, files=files, last=seen)
+
+    monkeypatch.setattr(jobs, "write_tsv", watched)
+    monkeypatch.setattr(jobs, "read_counts", None)
+    monkeypatch.setattr(jobs, "read_stripes", None)
+    for name in JOBS:
+        run_job(spark, name, corpus, str(tmp_path / name))
+    assert len(scans) == len(JOBS)
+    for text in scans:
+        assert text.count("FileScan text") == text.count("ReusedExchange") + 1 or text.count("FileScan text") <= 2
+        # Measured behind the last shuffle, in the tasks that write.
+        assert "Exchange" not in text.split("CollectMetrics")[0]
+
+
+def test_inputs_without_lines(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a").write_bytes(b"")
+    for name in JOBS:
+        stats = run_job(spark, name, str(tmp_path / "in"), str(tmp_path / name)).first()
+        assert (stats.lines_read, stats.items_counted, stats.groups_written) == (0, 0, 0)
+
+
+REPEATED = """
+import sys
+from pyspark import TaskContext
+from pyspark.sql import SparkSession
+from wordloom.plans import jobs
+
+spark = (
+    SparkSession.builder.master("local[2,4]").config("spark.ui.enabled", "false")
+    .config("spark.sql.shuffle.partitions", "2").getOrCreate()
+)
+spark.sparkContext.setLogLevel("OFF")
+write = jobs.write_tsv
+
+def failing(rows):
+    kind = rows.schema
+    def run(batches):
+        for batch in batches:
+            yield batch
+        if TaskContext.get().attemptNumber() == 0:
+            raise RuntimeError("lost")
+    return rows.mapInArrow(run, kind)
+
+def twice(table, path, *columns, files=None, last=None):
+    write(table, path, *columns, files=files, last=lambda rows: failing(last(rows)))
+
+jobs.write_tsv = twice
+row = jobs.run_job(spark, sys.argv[1], sys.argv[2], sys.argv[3], 2).first()
+print("found", row.lines_read, row.items_counted, row.groups_written)
+"""
+
+
+@pytest.mark.parametrize("name, n", [("word_count", 1), ("cooccurrence_stripes", 2)])
+def test_repeated_tasks_are_counted_once(corpus, tmp_path, name, n):
+    """Each writing task fails once, after it has seen all of its rows."""
+    home = os.path.dirname(os.path.dirname(os.path.abspath(jobs.__file__)))
+    ran = subprocess.run(
+        [sys.executable, "-c", REPEATED, name, corpus, str(tmp_path / "out")],
+        env=os.environ | {"PYTHONPATH": os.path.dirname(home)},
+        cwd=tmp_path,
+        capture_output=True,
+        text=True,
+        timeout=300,
+    )
+    if n == 1:
+        expected = brute.word_counts(LINES)
+        items, groups = sum(expected.values()), len(expected)
+    else:
+        expected = brute.stripe_counts(LINES, n)
+        items, groups = sum(sum(found.values()) for found in expected.values()), len(expected)
+    assert f"found {len(LINES)} {items} {groups}" in ran.stdout, ran.stderr
+
+
+@pytest.mark.parametrize("name", JOBS)
+def test_added_runs_equal_one_run_over_all(spark, corpus, tmp_path, name):
+    one, both = tmp_path / "one", tmp_path / "both"
+    both.mkdir()
+    for i in (0, 1):
+        (both / f"{i}.txt").write_text("the cat a b\n1 2 3\n" * (i + 1))
+        os.symlink(os.path.join(corpus, f"{i}.txt"), both / f"old{i}.txt")
+    (tmp_path / "new").mkdir()
+    for i in (0, 1):
+        os.symlink(both / f"{i}.txt", tmp_path / "new" / f"{i}.txt")
+    out = str(tmp_path / "out")
+    run_job(spark, name, corpus, out, 3, run=0)
+    run_job(spark, name, str(tmp_path / "new"), out, 3, run=1)
+    run_job(spark, name, str(both), str(one), 3)
+    found = jobs.add_runs(spark, name, [f"{out}/output_run_0", f"{out}/output_run_1"], out, 2, run=2)
+    assert found == f"{out}/output_run_2"
+    lines = lambda path: sorted(r.value for r in spark.read.text(path).collect())
+    assert lines(found) == lines(f"{one}/output_run_0") != []
+    with pytest.raises(ValueError):
+        jobs.add_runs(spark, name, [], out, run=3)
 
 
 def test_runs_write_to_their_own_folders_and_feed_the_recap(spark, corpus, tmp_path):
@@ -82,18 +190,18 @@ def test_runs_write_to_their_own_folders_and_feed_the_recap(spark, corpus, tmp_p
     row = recap.run_recap(
         # A row is written for a job that came to its end only.
         spark.read.parquet(stats).withColumn("succeeded", F.lit(True)),
-        means=["map_output_records"],
-        last=["reduce_output_records"],
+        means=["items_counted"],
+        last=["groups_written"],
     ).first()
     assert (row.job, row.successful_runs, row.failed_runs) == ("word_count", 2, 0)
-    assert row.avg_map_output_records == sum(brute.word_counts(LINES).values())
+    assert row.avg_items_counted == sum(brute.word_counts(LINES).values())
     with pytest.raises(PySparkException):
         run_job(spark, "word_count", corpus, out)
 
 
 def test_command_line(spark, corpus, tmp_path, capsys):
     out = str(tmp_path / "out")
-    main(["ngram_pairs", corpus, out, "--window", "3", "--reducers", "1"])
+    main(["ngram_pairs", corpus, out, "--window", "3", "--files", "1"])
     assert "ngram_pairs" in capsys.readouterr().out
     got = {r.word: r.n for r in read_counts(spark, f"{out}/output_run_0").collect()}
     assert got == brute.gram_counts(LINES, 3)
@@ -104,7 +212,7 @@ def test_command_line(spark, corpus, tmp_path, capsys):
     [
         {"window": 1},
         {"window": "3"},
-        {"reducers": 0},
+        {"files": 0},
         {"run": -1},
         {"run": 1.0},
         {"name": "unknown"},
@@ -115,3 +223,12 @@ def test_arguments_are_checked(spark, corpus, tmp_path, given):
     with pytest.raises(ValueError):
         run_job(spark, input_path=corpus, output_path=str(tmp_path / "o"), **arguments)
     assert len(JOBS) == 6
+
+
+def test_runs_are_added_from_the_command_line(spark, corpus, tmp_path, capsys):
+    out = str(tmp_path / "out")
+    run_job(spark, "word_count", corpus, out)
+    main(["word_count", f"{out}/output_run_0", out, "--run", "1", "--add", f"{out}/output_run_0"])
+    assert "output_run_1" in capsys.readouterr().out
+    got = {r.word: r.n for r in read_counts(spark, f"{out}/output_run_1").collect()}
+    assert got == {w: 2 * n for w, n in brute.word_counts(LINES).items()}

@@ -129,7 +129,7 @@ def test_count_table_with_bad_lines(spark, tmp_path):
 
 def series(spark, path):
     found = {}
-    for r in read_two_series(spark, str(path), ("map", "reduce")).collect():
+    for r in read_two_series(spark, str(path), ("map", "reduce")).orderBy("place").collect():
         found.setdefault((os.path.basename(r.file), r.series), []).append(r.value)
     return found
 

@@ -21,6 +21,21 @@ def as_text(entries: Column) -> Column:
     return F.replace(joined, F.lit(_MARK), F.lit(":"))
 
 
+def parsed(stripe: Column) -> Column:
+    """``array<struct<tail, n>>`` from a text as :func:`as_text` makes it; a count that is none fails.
+
+    No tail holds a colon or a space, so the text has one reading.
+    """
+    pieces = F.filter(F.split(stripe, ", ", -1), lambda e: e != "")
+    return F.transform(
+        pieces,
+        lambda e: F.struct(
+            F.substring_index(e, ":", 1).alias("tail"),
+            F.substring_index(e, ":", -1).cast("bigint").alias("n"),
+        ),
+    )
+
+
 def as_map(entries: Column) -> Column:
     """``map<tail, n>`` from an array of ``struct<tail, n>``."""
     return F.map_from_entries(entries)

@@ -13,6 +13,8 @@ OUTSIDE_ALPHABET = r"[^\p{L}0-9\s'-]"
 ISOLATED_MARKS = r"(?<=\s)['-]+|['-]+(?=\s)"
 LEADING_MARKS = r"(^|\s)['-]+"
 TRAILING_MARKS = r"[-']+(\s|$)"
+# White space as Python's str.strip sees it, which is wider than Spark's trim.
+EDGE_SPACE = r"^[\s\x1c-\x1f\x85\p{Z}]+|[\s\x1c-\x1f\x85\p{Z}]+$"
 
 
 def words(line: Column) -> Column:
@@ -32,6 +34,11 @@ def raw_words(line: Column) -> Column:
     return F.array_remove(F.split(line, RAW_DELIMITERS), "")
 
 
+def stripped(line: Column) -> Column:
+    """``line`` without white space at either end."""
+    return F.regexp_replace(line, EDGE_SPACE, "")
+
+
 def lower_case(line: Column) -> Column:
     return F.lower(line)
 

@@ -8,6 +8,8 @@ reducer as one row per map task.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +22,24 @@ def count_by(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count("*").alias("n"))
 
 
+def merged(*tables: DataFrame, key: str = "word") -> DataFrame:
+    """``(key, n)``: count tables of several corpora added up."""
+    return reduce(DataFrame.union, [t.select(key, "n") for t in tables]).groupBy(key).agg(
+        F.sum("n").alias("n")
+    )
+
+
+def added(known: DataFrame, more: DataFrame, key: str = "word") -> DataFrame:
+    """``(key, n)``: the counts ``more`` of a further run added to ``known``.
+
+    Each holds a key once. With ``known`` in buckets (:mod:`wordloom.sources.buckets`) only
+    ``more`` is shuffled, to the buckets, however large the older table is.
+    """
+    further = more.select(key, F.col("n").alias("_more"))
+    total = F.coalesce("n", F.lit(0)) + F.coalesce("_more", F.lit(0))
+    return known.join(further, key, "full_outer").select(key, total.alias("n"))
+
+
 def word_counts(texts: DataFrame, column: str = "line") -> DataFrame:
     """``(word, n)``. No word crosses a line end, so whole texts need no splitting."""
     return count_by(explode_words(texts, column), "word")
@@ -27,9 +47,15 @@ def word_counts(texts: DataFrame, column: str = "line") -> DataFrame:
 
 def total_count(texts: DataFrame, column: str = "line") -> DataFrame:
     """``("word", n)`` with the number of whitespace-separated tokens; no row for none."""
+    total = total_with_lines(texts, column).where(F.col("n") > 0)
+    return total.select(F.lit("word").alias("key"), "n")
+
+
+def total_with_lines(texts: DataFrame, column: str = "line") -> DataFrame:
+    """``(n, lines)`` with the number of whitespace-separated tokens and of rows that are not null."""
     size = F.regexp_count(column, F.lit(tokens.RAW_WORD)).cast("bigint")
-    total = texts.where(F.col(column).isNotNull()).agg(F.sum(size).alias("n"))
-    return total.where(F.col("n") > 0).select(F.lit("word").alias("key"), "n")
+    known = texts.where(F.col(column).isNotNull())
+    return known.agg(F.sum(size).alias("n"), F.count("*").alias("lines"))
 
 
 def ngram_counts(lines: DataFrame, n: int, column: str = "line") -> DataFrame:

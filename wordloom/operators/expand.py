@@ -6,6 +6,10 @@ generator, and that test would run the tokenizer a second time. Windows are
 generated as positions and cut out of the word array row by row, so the n-grams
 of a line never exist side by side in memory and the whole expansion stays in
 one generated loop up to the partial aggregate.
+
+With ``marks``, every line that is not null gives one further row, in which the word, the
+start or the gram is null and the head is empty: counted like any other, these rows give
+the number of lines in the pass that counts the words, at one more row a task.
 """
 
 from __future__ import annotations
@@ -17,9 +21,12 @@ from wordloom.functions import grams, tokens
 from wordloom.functions.checks import at_least, window_size
 
 
-def explode_words(texts: DataFrame, column: str, *keep: str) -> DataFrame:
+def explode_words(texts: DataFrame, column: str, *keep: str, marks: bool = False) -> DataFrame:
     """``(*keep, word)``, one row per word. Works on lines and on whole texts."""
     words = tokens.words(F.col(column))
+    if marks:
+        rows = F.concat(F.array(F.lit(None).cast("string")), words)
+        return texts.where(F.col(column).isNotNull()).select(*keep, F.explode(rows).alias("word"))
     return texts.select(*keep, F.explode_outer(words).alias("word")).where(
         F.col("word").isNotNull()
     )
@@ -35,29 +42,44 @@ def explode_positions(texts: DataFrame, column: str, *keep: str) -> DataFrame:
     )
 
 
-def windows(lines: DataFrame, column: str, n: int, *keep: str) -> DataFrame:
+def windows(lines: DataFrame, column: str, n: int, *keep: str, marks: bool = False) -> DataFrame:
     """``(*keep, words, start)`` for every window of ``n`` words of every line.
 
-    A line without a window keeps one row with a null ``start``.
+    Without ``marks``, a line without a window keeps one row with a null ``start``.
     """
     at_least("window", n, 1)
     words = lines.select(*keep, tokens.words(F.col(column)).alias("words"))
-    return words.select(
-        *keep, "words", F.explode_outer(grams.starts(F.col("words"), n)).alias("start")
-    )
+    starts = grams.starts(F.col("words"), n)
+    if marks:
+        starts = F.concat(
+            F.array(F.lit(None).cast("int")), F.coalesce(starts, F.array().cast("array<int>"))
+        )
+        words = lines.where(F.col(column).isNotNull()).select(
+            *keep, tokens.words(F.col(column)).alias("words")
+        )
+        return words.select(*keep, "words", F.explode(starts).alias("start"))
+    return words.select(*keep, "words", F.explode_outer(starts).alias("start"))
 
 
-def ngrams(lines: DataFrame, n: int, column: str = "line", *keep: str) -> DataFrame:
-    """``(*keep, gram)``; a gram never crosses a line end."""
+def _windows(lines: DataFrame, column: str, n: int, keep: tuple[str, ...], marks: bool) -> DataFrame:
     window_size(n)
-    found = windows(lines, column, n, *keep).where(F.col("start").isNotNull())
+    found = windows(lines, column, n, *keep, marks=marks)
+    return found if marks else found.where(F.col("start").isNotNull())
+
+
+def ngrams(
+    lines: DataFrame, n: int, column: str = "line", *keep: str, marks: bool = False
+) -> DataFrame:
+    """``(*keep, gram)``; a gram never crosses a line end."""
+    found = _windows(lines, column, n, keep, marks)
     return found.select(*keep, grams.gram(F.col("words"), F.col("start"), n).alias("gram"))
 
 
-def head_tails(lines: DataFrame, n: int, column: str = "line", *keep: str) -> DataFrame:
+def head_tails(
+    lines: DataFrame, n: int, column: str = "line", *keep: str, marks: bool = False
+) -> DataFrame:
     """``(*keep, head, tail)``: first word of an n-gram and the words behind it."""
-    window_size(n)
-    found = windows(lines, column, n, *keep).where(F.col("start").isNotNull())
+    found = _windows(lines, column, n, keep, marks)
     return found.select(
         *keep,
         grams.head(F.col("words"), F.col("start")).alias("head"),

@@ -2,32 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordloom.functions import grams
 from wordloom.operators.expand import windows
+from wordloom.operators.ranking import least_frequent, most_frequent
 
 
 def gram_totals(lines: DataFrame, n: int, column: str = "line") -> DataFrame:
     """``(lines, grams, distinct_grams)``: lines, their n-grams and different ones among these.
 
-    ``n = 1`` is for words. One pass over the lines and one shuffle, of a row per
-    n-gram and task; lines without an n-gram are counted on the same way.
+    ``n = 1`` is for words. One pass over the lines and one shuffle, of a row per n-gram and
+    task that holds a digest of 128 bits in place of the words; marks of the lines are
+    counted on the same way. Among 10^15 different n-grams two share a digest with a
+    probability of about 10^-9.
     """
-    found = windows(lines, column, n)
-    gram = grams.gram(F.col("words"), F.col("start"), n)
-    emitted = found.select(
-        F.when(F.col("start").isNotNull(), gram).alias("gram"),
-        F.when(F.coalesce("start", F.lit(1)) == 1, 1).otherwise(0).alias("first"),
-    )
-    by_gram = emitted.groupBy("gram").agg(
-        F.sum("first").alias("lines"), F.count("gram").alias("grams")
+    found = windows(lines, column, n, marks=True)
+    words = F.slice("words", F.col("start"), n)
+    digests = found.select(
+        # Two functions of the words: the second goes on from the hash of a constant.
+        F.when(F.col("start").isNotNull(), F.xxhash64(words)).alias("a"),
+        F.when(F.col("start").isNotNull(), F.xxhash64(F.lit(1), words)).alias("b"),
     )
-    totals = by_gram.agg(
-        F.sum("lines").alias("lines"),
-        F.sum("grams").alias("grams"),
-        F.count("gram").alias("distinct_grams"),
+    by_digest = digests.groupBy("a", "b").agg(F.count("*").alias("n"))
+    mark = F.col("a").isNull()
+    totals = by_digest.agg(
+        F.sum(F.when(mark, F.col("n"))).alias("lines"),
+        F.sum(F.when(~mark, F.col("n"))).alias("grams"),
+        F.count("a").alias("distinct_grams"),
     )
     return totals.select(*[F.coalesce(c, F.lit(0)).alias(c) for c in totals.columns])
 
@@ -38,3 +42,35 @@ def corpus_totals(counts: DataFrame, column: str = "n") -> DataFrame:
         F.count("*").alias("words"),
         F.coalesce(F.sum(F.col(column).try_cast("bigint")), F.lit(0)).alias("tokens"),
     )
+
+
+def corpus_report(counts: DataFrame, k: int = 10, key: str = "word") -> DataFrame:
+    """``(section, place, word, n)``: totals, the ``k`` most and the ``k`` least frequent words.
+
+    The sections ``words`` and ``tokens`` have one row each, without a word. The sections
+    start from the same counts, whose shuffle the engine reuses, so the corpus is read and
+    counted once; each section then keeps a few rows a task.
+    """
+
+    def section(name: str, rows: DataFrame, *order: Column) -> DataFrame:
+        # Over the k rows that the ranking has left.
+        place = F.row_number().over(Window.orderBy(*order)).cast("bigint")
+        return rows.select(F.lit(name).alias("section"), place.alias("place"), F.col(key).alias("word"), "n")
+
+    totals = corpus_totals(counts).select(
+        F.explode(
+            F.array(
+                *[
+                    F.struct(F.lit(name).alias("section"), F.col(name).cast("bigint").alias("n"))
+                    for name in ("words", "tokens")
+                ]
+            )
+        ).alias("t")
+    )
+    totals = totals.select("t.section", F.lit(1).cast("bigint").alias("place"), F.lit(None).cast("string").alias("word"), "t.n")
+    parts = [
+        totals,
+        section("most frequent", most_frequent(counts, k, key), F.desc("n"), F.desc(key)),
+        section("least frequent", least_frequent(counts, k, key), F.asc("n"), F.asc(key)),
+    ]
+    return reduce(DataFrame.union, parts)

@@ -14,6 +14,8 @@ layout parameter and depends on nothing else.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +32,10 @@ def _hash_part(tail: Column, parts: Column) -> Column:
 
 
 def with_parts(entries: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
-    """``(head, tail, n, part)``; ``part`` is 0 unless the stripe exceeds ``part_bytes``.
+    """``(head, tail, n, part, first)``; ``part`` is 0 unless the stripe exceeds ``part_bytes``.
+
+    ``first`` is 1 in one part of each head and 0 in its others: in the only one, or in that of
+    the tail with the smallest hash.
 
     The large heads are found from the counts, whose shuffle is reused. How they
     are joined back is left to the planner: few are broadcast once their size is
@@ -43,18 +48,19 @@ def with_parts(entries: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     at_least("part_bytes", part_bytes, 1)
     entry_bytes = stripes.entry_bytes(F.col("tail"), F.col("n"))
     sizes = entries.groupBy(F.xxhash64("head").alias("hash")).agg(
-        F.sum(entry_bytes).alias("bytes")
+        F.sum(entry_bytes).alias("bytes"), F.min(F.xxhash64("tail")).alias("least")
     )
     large = sizes.where(F.col("bytes") > part_bytes).select(
-        "hash", F.ceil(F.col("bytes") / part_bytes).alias("parts")
+        "hash", F.ceil(F.col("bytes") / part_bytes).alias("parts"), "least"
     )
     part = F.when(F.col("parts").isNull(), F.lit(0)).otherwise(
         _hash_part(F.col("tail"), F.col("parts"))
     )
+    first = F.col("parts").isNull() | (F.xxhash64("tail") == F.col("least"))
     return (
         entries.withColumn("hash", F.xxhash64("head"))
         .join(large, "hash", "left")
-        .select("head", "tail", "n", part.cast("bigint").alias("part"))
+        .select("head", "tail", "n", part.cast("bigint").alias("part"), first.cast("int").alias("first"))
     )
 
 
@@ -69,6 +75,31 @@ def stripe_texts(entries: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     return pack_texts(with_parts(entries, part_bytes), "head", "part")
 
 
+def measured_texts(entries: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
+    """As :func:`stripe_texts`, with ``n``, the sum of the counts in the row, and ``first``."""
+    packed = F.collect_list(stripes.entry(F.col("tail"), F.col("n")))
+    return with_parts(entries, part_bytes).groupBy("head", "part").agg(
+        stripes.as_text(packed).alias("stripe"), F.sum("n").alias("n"), F.max("first").alias("first")
+    )
+
+
+def entries_of(texts: DataFrame) -> DataFrame:
+    """``(head, tail, n)`` from ``(head, part, stripe)``; the inverse of :func:`stripe_texts`."""
+    held = texts.select("head", F.explode(stripes.parsed(F.col("stripe"))).alias("e"))
+    return held.select("head", "e.tail", "e.n")
+
+
+def merged(*tables: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
+    """``(head, part, stripe)``: stripe tables of several corpora added up.
+
+    Equal tails of a head are added, whatever parts they lie in, and the parts are laid out
+    anew from the sums, so the result is that of one count over all of the corpora. A stripe
+    is only ever taken apart row by row.
+    """
+    entries = reduce(DataFrame.union, [entries_of(t) for t in tables])
+    return stripe_texts(entries.groupBy("head", "tail").agg(F.sum("n").alias("n")), part_bytes)
+
+
 def stripe_maps(entries: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     """``(head, part, stripe)`` with the stripe as ``map<tail, n>``."""
     found = F.sort_array(F.collect_list(F.struct("tail", "n")))

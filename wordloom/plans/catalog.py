@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from wordloom.functions.tokens import normalized
 from wordloom.operators import counts, expand, profile, ranking, recap, stripes
+from wordloom.sources.buckets import write_buckets
 from wordloom.sources.lines import lines_of, read_lines
 from wordloom.sources.scratch import scratch_path
+from wordloom.sources.series import read_two_series
 from wordloom.sources.tables import read_table
 from wordloom.sources.tsv import read_counts, read_stripes, write_tsv
 
@@ -19,10 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Small enough that frequent heads of the test tables fill several parts.
 SMALL_PART_BYTES = 16 * 1024
-# The tables these queries are registered for are files of one row group, which one
-# task reads however many there are. The number is the same at every size; for
-# tables in many row groups leave it out, and nothing is shuffled before counting.
-ONE_ROW_GROUP = 16
+COUNT_BUCKETS = 16
 
 
 def _texts(spark, folder, *keep, table="documents", column="text", partitions=None):
@@ -92,6 +91,36 @@ def ngram_stripes(
     return stripes.stripe_texts(entries, part_bytes)
 
 
+def _halves(spark, folder, partitions):
+    """The texts of documents with an even and with an odd id."""
+    texts = _texts(spark, folder, "doc_id", partitions=partitions)
+    return [texts.where(F.pmod("doc_id", F.lit(2)) == half) for half in (0, 1)]
+
+
+def stripes_merged(spark, folder, n=2, partitions=None):
+    """Stripe files of the two halves of the documents, written, read and added up.
+
+    Writes files when called, as :func:`tsv_round_trip`; frequent heads fill several parts.
+    """
+    tables = []
+    for texts in _halves(spark, folder, partitions):
+        path = scratch_path(spark, "stripes")
+        entries = counts.head_tail_counts(lines_of(texts, "text"), n)
+        write_tsv(stripes.stripe_texts(entries, SMALL_PART_BYTES), path, "head", "part", "stripe")
+        tables.append(read_stripes(spark, path))
+    return stripes.merged(*tables, part_bytes=SMALL_PART_BYTES)
+
+
+def word_count_two_runs(spark, folder, partitions=None):
+    """Counts of one half of the documents in buckets, those of the other added to them.
+
+    Writes files when called, as :func:`tsv_round_trip`.
+    """
+    older, newer = (counts.word_counts(t, "text") for t in _halves(spark, folder, partitions))
+    known = write_buckets(older, scratch_path(spark, "count-buckets"), "word", COUNT_BUCKETS)
+    return counts.added(known, newer)
+
+
 def stripe_maps(spark, folder, partitions=None):
     """The map view of stripes, laid out again as one row an entry."""
     maps = stripes.stripe_maps(
@@ -126,6 +155,10 @@ def bottom_words(spark, folder, partitions=None):
     return ranking.least_frequent(word_count(spark, folder, partitions=partitions))
 
 
+def corpus_report(spark, folder, partitions=None):
+    return profile.corpus_report(word_count(spark, folder, partitions=partitions))
+
+
 def tsv_round_trip(spark, folder, partitions=None):
     """Writes files when called, as a round trip through files must; the rows come from them."""
     path = scratch_path(spark, "word-count")
@@ -174,6 +207,56 @@ def file_bottom_words(spark, folder, partitions=None):
     return ranking.least_frequent(_count_files(spark, folder, partitions))
 
 
+def file_last_counts(spark, folder, partitions=None):
+    """Count files of the two halves of the documents, in this order: most words stand in both.
+
+    Counts that 7 divides are no numbers. Writes files when called, as :func:`tsv_round_trip`.
+    """
+    base = scratch_path(spark, "counts")
+    paths = [f"{base}/run_0", f"{base}/run_1"]
+    n = F.col("n").cast("string")
+    spoilt = F.when(F.col("n") % 7 == 0, F.concat(F.lit("n="), n)).otherwise(n)
+    for texts, path in zip(_halves(spark, folder, partitions), paths):
+        write_tsv(counts.word_counts(texts, "text").select("word", spoilt.alias("n")), path, "word", "n")
+    return ranking.last_counts(read_counts(spark, paths, places=True)).select("word", "n")
+
+
+def two_series_round_trip(spark, folder):
+    """``events`` as files of two series, one of each type and day: events of even ids, then of odd.
+
+    Writes files when called, as :func:`tsv_round_trip`. A line that is no number begins each.
+    """
+    events = read_table(spark, f"{folder}/events.parquet", "event_id", "event_type", "ts", "value")
+    named = events.select(
+        F.concat_ws("_", "event_type", F.date_format("ts", "yyyyMM")).alias("name"),
+        F.pmod("event_id", F.lit(2)).alias("half"),
+        "event_id",
+        F.floor(F.col("value") * 1000).cast("string").alias("line"),
+    )
+    both = F.array(
+        F.struct(F.lit(-1).cast("bigint").alias("half"), F.lit("samples").alias("line")),
+        F.struct(F.lit(0).cast("bigint").alias("half"), F.lit("").alias("line")),
+    )
+    halves = named.groupBy("name").agg(F.count_distinct("half").alias("halves")).where("halves = 2")
+    frame = halves.select("name", F.explode(both).alias("b")).select(
+        "name", "b.half", F.lit(None).cast("bigint").alias("event_id"), "b.line"
+    )
+    numbers = named.join(halves, "name", "left_semi")
+    path = scratch_path(spark, "series")
+    (
+        numbers.unionByName(frame)
+        .repartition("name")
+        .sortWithinPartitions("name", "half", F.asc_nulls_last("event_id"))
+        .select("name", "line")
+        .write.partitionBy("name")
+        .mode("errorifexists")
+        .text(path)
+    )
+    found = read_two_series(spark, f"{path}/*", ("even", "odd"))
+    name = F.regexp_extract("file", "/name=([^/]*)/", 1)
+    return found.select(name.alias("name"), "series", "value")
+
+
 def run_recap(spark, folder):
     """``events`` as job runs: the type is the job, values above 100 are failed runs."""
     events = read_table(
@@ -206,7 +289,8 @@ def series_means(spark, folder):
     return recap.series_means(values, "series")
 
 
-def queries() -> dict[str, Query]:
+def text_queries() -> dict[str, Query]:
+    """The queries over texts; each takes ``partitions``, for tables that only one task can read."""
     texts: dict[str, Query] = {
         "word_count": word_count,
         "line_records": line_records,
@@ -226,17 +310,23 @@ def queries() -> dict[str, Query]:
             ngram_stripes, n=2, table="conversations"
         ),
         "stripe_maps": stripe_maps,
+        "stripes_merged": stripes_merged,
+        "ngram_stripes_3_merged": partial(stripes_merged, n=3),
+        "word_count_two_runs": word_count_two_runs,
+        "corpus_report": corpus_report,
         "line_stripes": line_stripes,
         "line_stripes_3": partial(line_stripes, n=3),
         "word_count_by_document": word_count_by_document,
         "gram_totals_1": partial(gram_totals, n=1),
         "gram_totals_3": partial(gram_totals, n=3),
+        "gram_totals_10": partial(gram_totals, n=10),
         "tsv_round_trip": tsv_round_trip,
         "stripes_tsv_round_trip": stripes_tsv_round_trip,
         "word_count_from_files": word_count_from_files,
         "file_totals": file_totals,
         "file_top_words": file_top_words,
         "file_bottom_words": file_bottom_words,
+        "file_last_counts": file_last_counts,
         "word_count_pages": partial(word_count, table="pages", column="html"),
         "word_count_conversations": partial(word_count, table="conversations"),
         "word_count_benchmark": partial(word_count, table="benchmark"),
@@ -250,5 +340,12 @@ def queries() -> dict[str, Query]:
         texts[f"ngram_head_tail_{n}"] = partial(ngram_head_tail, n=n)
         texts[f"ngram_stripes_{n}"] = partial(ngram_stripes, n=n)
     texts["ngram_stripes_3_in_parts"] = partial(ngram_stripes, n=3, part_bytes=SMALL_PART_BYTES)
-    found = {name: partial(query, partitions=ONE_ROW_GROUP) for name, query in texts.items()}
-    return found | {"run_recap": run_recap, "series_means": series_means}
+    return texts
+
+
+def queries() -> dict[str, Query]:
+    return text_queries() | {
+        "run_recap": run_recap,
+        "series_means": series_means,
+        "two_series_round_trip": two_series_round_trip,
+    }

@@ -106,6 +106,35 @@ def _gram_totals(n: int) -> str:
         count(DISTINCT gram) AS distinct_grams FROM emitted"""
 
 
+def _last_counts() -> str:
+    """The last count that 7 does not divide, of the odd half before that of the even one."""
+    return f"""WITH {_words()},
+    counted AS (
+        SELECT id % 2 AS half, word, count(*) AS n FROM words GROUP BY ALL HAVING count(*) % 7 <> 0)
+    SELECT word, max_by(n, half) AS n FROM counted GROUP BY word"""
+
+
+def _report(words: str) -> str:
+    def section(name: str, order: str) -> str:
+        return f"""SELECT '{name}' AS section, row_number() OVER (ORDER BY {order}) AS place, word, n
+            FROM (SELECT * FROM counted ORDER BY {order} LIMIT 10)"""
+
+    return f"""WITH counted AS ({words})
+    SELECT 'words' AS section, 1::BIGINT AS place, NULL::VARCHAR AS word, count(*) AS n FROM counted
+    UNION ALL SELECT 'tokens', 1, NULL, sum(n)::BIGINT FROM counted
+    UNION ALL {section("most frequent", "n DESC, word DESC")}
+    UNION ALL {section("least frequent", "n, word")}"""
+
+
+def _two_series() -> str:
+    return """WITH named AS (
+        SELECT event_type || '_' || strftime(ts, '%Y%m') AS name, event_id % 2 AS half,
+            floor(value * 1000)::BIGINT AS value FROM events),
+    complete AS (SELECT name FROM named GROUP BY name HAVING count(DISTINCT half) = 2)
+    SELECT name, CASE half WHEN 0 THEN 'even' ELSE 'odd' END AS series, value
+    FROM named JOIN complete USING (name)"""
+
+
 def _unit(value: str, rounded: str) -> str:
     """``rounded`` holds ``{}`` for the scaled value: ties go up or to the even digit."""
     steps = "".join(
@@ -178,12 +207,19 @@ def oracle_sql() -> dict[str, str]:
             2, PART_BYTES, "conversations", "(conv_id, turn)"
         ),
         "ngram_stripes_3_pages": _stripes(3, PART_BYTES, "pages", "page_id", "html"),
+        "stripes_merged": _stripes(2, SMALL_PART_BYTES),
+        "ngram_stripes_3_merged": _stripes(3, SMALL_PART_BYTES),
+        "word_count_two_runs": words,
+        "corpus_report": _report(words),
+        "file_last_counts": _last_counts(),
+        "two_series_round_trip": _two_series(),
         "stripe_maps": f"{_dealt(2, SMALL_PART_BYTES)} SELECT head, part, tail, n FROM dealt",
         "line_stripes": _line_stripes(2),
         "line_stripes_3": _line_stripes(3),
         "word_count_by_document": by_document,
         "gram_totals_1": _gram_totals(1),
         "gram_totals_3": _gram_totals(3),
+        "gram_totals_10": _gram_totals(10),
         "tsv_round_trip": words,
         "stripes_tsv_round_trip": _stripes(2, SMALL_PART_BYTES),
         "file_totals": f"""SELECT count(*) AS words,
