@@ -1,8 +1,13 @@
-"""Whole licence files as they lie about, with titles, other lists and named holders."""
+"""Whole licence files as they lie about, with titles, other lists, named holders and line widths."""
 
+import re
+import textwrap
 from pathlib import Path
 
-from wordloom.llm import licenses
+import duckdb
+import pytest
+
+from wordloom.llm import catalog, licenses, oracle
 
 FILES = Path(licenses.__file__).parent / "license_texts"
 
@@ -25,3 +30,84 @@ def test_full_texts_titles_lists_and_holders_are_known(spark):
     got = licenses.scan(table, licenses.known(spark)).collect()
     assert len(cases) > 15 and len(got) == len(cases)
     assert [(r.wanted, r.license) for r in got if r.wanted != r.license] == []
+
+
+def wrapped(text, width):
+    """``text`` with every paragraph filled anew."""
+    parts = re.split(r"\n[ \t]*\n", text)
+    return "\n\n".join(textwrap.fill(" ".join(p.split()), width, break_on_hyphens=False) for p in parts)
+
+
+def all_texts():
+    texts = [(f.stem, f.read_text()) for f in sorted(FILES.glob("*.txt"))]
+    notice = "Copyright (c) 2001, 2003-2005 Some One and Example, Inc. <someone@example.org>\nAll rights reserved.\n"
+    short = dict(licenses.LICENSES[::-1])
+    for name in ("0BSD", "BSD-2-Clause", "BSD-3-Clause", "ISC", "MIT"):
+        texts += [(name, short[name]), (name, f"{notice}\n{short[name]}"), (name, f"{notice}{short[name].strip()}")]
+    return texts
+
+
+@pytest.fixture(scope="module")
+def found(spark):
+    def names(cases):
+        table = spark.createDataFrame(list(enumerate(cases)), "doc_id bigint, text string").repartition(8)
+        rows = licenses.scan(table, licenses.known(spark)).select("doc_id", "license").collect()
+        return [r.license for r in sorted(rows)]
+
+    return names
+
+
+def test_line_widths_make_no_difference(found):
+    texts = all_texts()
+    widths = [*range(60, 101, 4), 72, 74, 78, 66, 10_000]
+    cases = [(name, w, wrapped(text, w)) for name, text in texts for w in widths]
+    got = found([text for _, _, text in cases])
+    assert [(name, w) for (name, w, _), license in zip(cases, got) if license != name] == []
+
+
+def test_changed_terms_are_another_text(found):
+    texts = dict(all_texts())
+    apache, gpl, mit = texts["Apache-2.0"], texts["GPL-3.0"], texts["MIT"]
+    cases = [
+        re.sub(r"\(c\) You must retain,", "(c) You need not retain,", apache),
+        re.sub(r"(?m)^.*copyright license to.*$", "copyright (c) anything else", apache),
+        re.sub(r"(?m)^.*copyright notice that is included in.*$", "(c) anything else at all may stand here", apache),
+        gpl.replace("changing it is not allowed", "changing it is allowed"),
+        re.sub(r'"Copyright" also means', "Copyright does not mean", gpl),
+        mit.replace("without restriction", "with restriction"),
+        f"{mit}\n\nCopyright law does not apply.",
+        f"{mit}\n\nCopyright (c) 2020 X\n\nNo commercial use.",
+        f"{mit}\n\nCopyright (c) 2020 " + "no commercial use of any kind " * 10,
+    ]
+    assert all(c not in (apache, gpl, mit) for c in cases)
+    assert found(cases) == [None] * len(cases)
+
+
+def test_query_equals_sql_on_licence_files(spark, tmp_path):
+    short = dict(licenses.LICENSES[::-1])
+    texts = [t for _, t in all_texts()] + [wrapped(t, 70) for _, t in all_texts()]
+    texts += [
+        f"BSD 3-Clause License\n\nCopyright 2020 X\n{short['BSD-3-Clause'].replace('1. ', '* ')}",
+        short["BSD-3-Clause"].replace("THE COPYRIGHT HOLDERS AND CONTRIBUTORS", "EXAMPLE INC."),
+        "one\nLicensed under the MIT licence.\r\nCopyright 1999 X\nSPDX-License-Identifier: MIT",
+        "Portions Copyright © 2001 A; (c) 2002 B\nhttps://example.org sub-licence non-commercial",
+        None,
+        "",
+        "Copyright",
+        short["ISC"].replace("\n", " "),
+    ]
+    rows = list(enumerate(texts))
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    df = catalog.license_scan(spark, str(tmp_path))
+    columns = ", ".join(df.columns)
+    expected = con.sql(f"SELECT {columns} FROM ({oracle.oracle_sql()['op8_license_scan']})").fetchall()
+    got = sorted(tuple(r) for r in df.collect())
+    assert got == sorted(expected)
+    assert sum(r[2] is not None for r in got) > 50 and sum(r[3] > 0 for r in got) >= 2
+
+
+def test_every_known_text_has_a_marker():
+    for _, text in licenses.LICENSES + licenses.NOTICES:
+        assert re.search(licenses.MARKERS, text.lower())

@@ -1,12 +1,13 @@
 """Licence scans by digests of canonical texts.
 
 A text and the known licences are brought to one canonical form: lower case, without
-copyright lines, with one spelling of words that have several, and with every run of
+copyright notices, with one spelling of words that have several, and with every run of
 other characters than letters and digits as one space. Two texts are the same licence
 if their canonical forms are equal, which a hash join on the SHA-256 of the form
 decides. For whole texts the form is made coarser before it is hashed: a title in
 front, numbers of list items and the named holders of BSD terms are no difference.
-The lookup on single lines, by the plain form, finds the notices that texts carry.
+The lookup on single lines, by the plain form, finds the notices that texts carry. Lines
+without any of ``MARKERS``, which every known text has, are not looked up.
 
 The known licences are a table ``(license, text)``; :func:`known` holds common ones
 in full and customary notices. It is joined by digest without a hint: the planner broadcasts
@@ -21,6 +22,7 @@ output column is replaced by it.
 
 from __future__ import annotations
 
+from functools import reduce
 from pathlib import Path
 
 import pyarrow as pa
@@ -29,17 +31,24 @@ from pyspark.sql import functions as F
 
 from wordloom.llm.texts import replacing, text_key, unused
 
-# What counts as a copyright line, and spellings that mean the same.
-COPYRIGHT_LINE = (
-    r"(?m)^[\s#*/;%-]*(?:portions\s+)?(?:copyright(?:ed)?\b|\(c\)|©|&copy;|all rights reserved).*$"
+# The form of a copyright notice, phrases that end one, and spellings that mean the
+# same. A notice goes on for a bounded number of characters, so that no further terms go with it.
+SIGN = r"(?:\(c\)|©|&copy;)"
+YEAR = r"(?:(?:19|20)[0-9][0-9]|20xx|[<\[{(]?(?:years?|yyyy)\b)"
+NOTICE = rf"(?:portions )?(?:copyright ?(?:{SIGN}|{YEAR}|[<\[{{])|{SIGN} ?{YEAR})"
+NOTICE_SIZE = 160
+OPENERS = (
+    "all rights reserved|everyone is permitted|licensed under|permission is granted"
+    "|permission is hereby granted|permission to use|redistribution and use"
+    "|this library is|this program is"
 )
 SPELLINGS = (
     (r"licence", "license"),
-    (r"sub-license", "sublicense"),
+    (r"sub license", "sublicense"),
     (r"(author|initial|organ|real|recogn|util)is(e|ing|ation)", "$1iz$2"),
     (r"(behavi|col|fav|hon|lab)our", "$1or"),
-    (r"non-(commercial|infring)", "non$1"),
-    (r"https:", "http:"),
+    (r"non (commercial|infring)", "non$1"),
+    (r"(^| )https ", "$1http "),
 )
 
 # Short licences in full and the lines by which texts name a licence.
@@ -152,6 +161,10 @@ NOTICES = (
 )
 
 
+# A word of every text above, before spellings are made one.
+MARKERS = "licen|granted|redistribution"
+
+
 def known(spark: SparkSession) -> DataFrame:
     """``(license, text)`` of the licences and notices above."""
     names, texts = zip(*(LICENSES + NOTICES))
@@ -159,12 +172,28 @@ def known(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(pa.table({"license": list(names), "text": list(texts)}))
 
 
+def _without_notices(lowered: Column) -> Column:
+    """``lowered`` without copyright notices.
+
+    A notice begins with its form and ends with its paragraph, at the next notice, or where
+    the terms begin. Lines are no part of this, so it does not matter how a text is wrapped.
+    """
+    out = F.regexp_replace(lowered, r"\n[^\p{L}\p{N}]*\n", "\x1e")
+    out = F.regexp_replace(out, r"[^\p{L}\p{N}\x1e()©<\[{&;]+", " ")
+    out = F.regexp_replace(out, rf"({OPENERS}|{NOTICE})", "\x1e$1")
+    out = F.regexp_replace(out, rf"{NOTICE}[^\x1e]{{0,{NOTICE_SIZE}}}", " ")
+    return F.regexp_replace(out, "all rights reserved", " ")
+
+
 def canonical(text: Column) -> Column:
     """The canonical form of ``text``."""
-    out = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINE, " ")
+    lowered = F.lower(F.coalesce(text, F.lit("")))
+    marks = [F.contains(lowered, F.lit(mark)) for mark in ("copyright", "(c)", "©", "&copy;", "all rights")]
+    out = F.when(reduce(Column.__or__, marks), _without_notices(lowered)).otherwise(lowered)
+    out = F.trim(F.regexp_replace(out, r"[^\p{L}\p{N}]+", " "))
     for pattern, spelling in SPELLINGS:
         out = F.regexp_replace(out, pattern, spelling)
-    return F.trim(F.regexp_replace(out, r"[^\p{L}\p{N}]+", " "))
+    return out
 
 
 def digest(text: Column) -> Column:
@@ -221,18 +250,24 @@ def scan(
 
 
 def notices(
-    docs: DataFrame, known_texts: DataFrame, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    known_texts: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    markers: str = MARKERS,
 ) -> DataFrame:
     """``(doc_id, text_key, n_lines, licenses)`` of the texts with a line that is a known text.
 
-    Lines are looked up like whole texts; only those found are shuffled. What is
-    collected for a text are distinct names of the known table.
+    ``markers`` is a pattern that each of ``known_texts`` has in lower case; lines without it are
+    passed over. Only lines that are found are shuffled. What is collected for a text
+    are distinct names of the known table.
     """
     lines = docs.select(
         F.col(doc_id).alias("doc_id"),
         text_key(F.col(text)).alias("text_key"),
         F.explode_outer(F.split(F.col(text), "\n", -1)).alias("line"),
     )
+    lines = lines.where(F.lower("line").rlike(markers))
     hashed = lines.select("doc_id", "text_key", digest(F.col("line")).alias("digest"))
     found = hashed.join(digests(known_texts), "digest")
     return found.groupBy("doc_id", "text_key").agg(

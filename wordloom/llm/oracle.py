@@ -137,31 +137,71 @@ def _line_dedup() -> str:
 
 
 def _licenses() -> str:
+    sign = r"(?:\(c\)|©|&copy;)"
+    year = r"(?:(?:19|20)[0-9][0-9]|20xx|[<\[{(]?(?:years?|yyyy)\b)"
+    notice = rf"(?:portions )?(?:copyright ?(?:{sign}|{year}|[<\[{{])|{sign} ?{year})"
+    openers = (
+        "all rights reserved|everyone is permitted|licensed under|permission is granted"
+        "|permission is hereby granted|permission to use|redistribution and use"
+        "|this library is|this program is"
+    )
+
+    def replaced(text: str, *steps: tuple[str, str]) -> str:
+        for pattern, by in steps:
+            text = f"regexp_replace({text}, '{pattern}', '{by}', 'g')"
+        return text
+
     def canonical(text: str) -> str:
-        line = (
-            r"(?m)^[\s#*/;%-]*(?:portions\s+)?"
-            r"(?:copyright(?:ed)?\b|\(c\)|©|&copy;|all rights reserved).*$"
+        bare = replaced(
+            f"lower(coalesce({text}, ''))",
+            (r"\n[^\p{L}\p{N}]*\n", "\x1e"),
+            (r"[^\p{L}\p{N}\x1e()©<\[{&;]+", " "),
+            (f"({openers}|{notice})", "\x1e\\1"),
+            (notice + r"[^\x1e]{0,160}", " "),
+            ("all rights reserved", " "),
+            (r"[^\p{L}\p{N}]+", " "),
         )
-        out = f"regexp_replace(lower(coalesce({text}, '')), '{line}', ' ', 'g')"
-        for pattern, spelling in (
+        return replaced(
+            f"trim({bare})",
             (r"licence", "license"),
-            (r"sub-license", "sublicense"),
+            (r"sub license", "sublicense"),
             (r"(author|initial|organ|real|recogn|util)is(e|ing|ation)", r"\1iz\2"),
             (r"(behavi|col|fav|hon|lab)our", r"\1or"),
-            (r"non-(commercial|infring)", r"non\1"),
-            (r"https:", "http:"),
-        ):
-            out = f"regexp_replace({out}, '{pattern}', '{spelling}', 'g')"
-        return rf"trim(regexp_replace({out}, '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"
+            (r"non (commercial|infring)", r"non\1"),
+            (r"(^| )https ", r"\1http "),
+        )
+
+    def matched(form: str) -> str:
+        title = (
+            r"^(?:the )?(?:(?:new |modified |revised |simplified )?(?:bsd (?:[23]|two|three) clause"
+            r"|[23] clause bsd|isc|mit|bsd zero clause|zero clause bsd) license"
+            r"|(?:new|modified|revised|simplified) bsd license|0bsd)(?: (?:mit|isc))?(?: |$)"
+        )
+        terms = f"regexp_replace({form}, '{title}', '')"
+        holders = replaced(
+            terms,
+            (r" (?:[1-3]|[a-c]|i{1,3}) (redistributions (?:of|in)|neither the names?) ", r" \1 "),
+            (
+                r" neither the names? of .{1,300}? nor the names of (?:its|their|any|other)? ?contributors may ",
+                " neither the name of holder nor the names of its contributors may ",
+            ),
+            (r" provided by .{1,200}? as is and any express ", " provided by holder as is and any express "),
+            (r" in no event shall .{1,200}? be liable ", " in no event shall holder be liable "),
+        )
+        opening = "redistribution and use in source and binary forms"
+        return f"CASE WHEN starts_with({terms}, '{opening}') THEN {holders} ELSE {terms} END"
 
     texts = ", ".join(
         "('{}', '{}')".format(name, text.replace("'", "''")) for name, text in LICENSES + NOTICES
     )
     return rf"""WITH given AS (SELECT * FROM (VALUES {texts}) AS v(license, text)),
-    known AS (
-        SELECT form, min(license) AS license
-        FROM (SELECT {canonical('text')} AS form, license FROM given) WHERE form <> '' GROUP BY form),
+    forms AS (SELECT {canonical('text')} AS form, license FROM given),
+    known AS (SELECT form, min(license) AS license FROM forms WHERE form <> '' GROUP BY form),
+    whole AS (
+        SELECT match, min(license) AS license
+        FROM (SELECT {matched('form')} AS match, license FROM forms) WHERE match <> '' GROUP BY match),
     docs AS (SELECT doc_id, text, {canonical('text')} AS form FROM documents),
+    matching AS (SELECT doc_id, form, {matched('form')} AS match FROM docs),
     lines AS (
         SELECT doc_id, {canonical('line')} AS form
         FROM (SELECT doc_id, unnest(regexp_split_to_array(text, '\n')) AS line FROM documents)),
@@ -170,7 +210,7 @@ def _licenses() -> str:
         FROM lines JOIN known USING (form) GROUP BY doc_id)
     SELECT doc_id, sha256(form) AS canonical_sha256, license, coalesce(n, 0) AS n_notice_lines,
         coalesce(notices, '') AS notices
-    FROM docs LEFT JOIN known USING (form) LEFT JOIN named USING (doc_id)"""
+    FROM matching LEFT JOIN whole USING (match) LEFT JOIN named USING (doc_id)"""
 
 
 def _warc() -> str:
