@@ -40,7 +40,7 @@ NOTICE_SIZE = 160
 OPENERS = (
     "all rights reserved|everyone is permitted|licensed under|permission is granted"
     "|permission is hereby granted|permission to use|redistribution and use"
-    "|this library is|this program is"
+    "|released under|spdx license|this library is|this program is|this work is"
 )
 SPELLINGS = (
     (r"licence", "license"),
