@@ -185,6 +185,60 @@ def mixed(docs):
     return [n for _, n in sorted(copies)]
 
 
+class KneserNey:
+    """Two letter models with shared pairs, straight from the definitions, over lists of words."""
+
+    def __init__(self, ordinary, toxic, corpus, order=6, discount=0.75):
+        self.order, self.discount = order, discount
+        self.pairs = Counter(
+            pair for word in set(corpus) for marked in [f"^^{word}$"] for pair in map("".join, zip(marked[1:], marked[2:]))
+        )
+        self.last = Counter(pair[1] for pair in self.pairs)
+        self.classes = []
+        for words in (ordinary, toxic):
+            tokens = Counter()
+            for word in words:
+                marked = f"^^{word}$"
+                for end in range(3, len(marked) + 1):
+                    tokens.update(marked[end - k : end] for k in range(3, order + 1) if k <= end)
+            self.classes.append(
+                {
+                    g: n if len(g) == order or g.startswith("^^") else sum(x[1:] == g for x in tokens if len(x) == len(g) + 1)
+                    for g, n in tokens.items()
+                }
+            )
+
+    def interpolated(self, table, gram, p):
+        same = {g: n for g, n in table.items() if len(g) == len(gram) and g[:-1] == gram[:-1]}
+        if not same:
+            return None
+        seen = max(table.get(gram, 0) - self.discount, 0)
+        return (seen + self.discount * len(same) * p) / sum(same.values())
+
+    def probability(self, side, gram):
+        p = (self.last[gram[-1]] + 0.5) / (len(self.pairs) + 0.5 * len(self.last) + 1)
+        p = self.interpolated(self.pairs, gram[-2:], p) or p
+        for k in range(3, len(gram) + 1):
+            longer = self.interpolated(self.classes[side], gram[-k:], p)
+            if longer is None:
+                break
+            p = longer
+        return p
+
+    def log_likelihood(self, word, side):
+        marked = f"^^{word}$"
+        ends = range(3, len(marked) + 1)
+        return sum(math.log(self.probability(side, marked[max(0, e - self.order) : e])) for e in ends)
+
+    def difference(self, words, share=0.02):
+        """Of the log-likelihoods of a text under the mixture and under the ordinary model, by word."""
+        total = 0.0
+        for word in words:
+            ordinary, toxic = (self.log_likelihood(word, side) for side in (0, 1))
+            total += math.log((1 - share) * math.exp(ordinary) + share * math.exp(toxic)) - ordinary
+        return total / len(words) if words else 0.0
+
+
 def packed(docs, tokenizer, end=1):
     """``(doc_id, start, n_tokens, crc32)`` of ``(doc_id, text)`` in that order."""
     rows, start = [], 0

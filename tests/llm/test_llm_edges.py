@@ -1,6 +1,7 @@
 """Nulls, empty tables, repeated rows, ties, long texts and clashing column names."""
 
 import random
+import zlib
 
 import llm_brute as brute
 import numpy as np
@@ -447,3 +448,38 @@ def test_toxicity_of_odd_rows(spark, docs, empty):
         assert len(same) == 1
         assert same == {0.5} if some.isEmpty() else max(same) < 0.5
     toxicity.train(empty.select("doc_id", "text"), labels)
+    odd = docs.select("doc_id", "text", F.lit("x").alias("toxic"), F.lit(1).alias("fold"), F.lit(2).alias("n"))
+    more = labels.select("doc_id", "toxic", F.lit("y").alias("text"), F.lit("z").alias("word"))
+    again = toxicity.train(odd, more)
+    assert (again.grams, again.shared, again.curve) == (model.grams, model.shared, model.curve)
+    assert toxicity.score(odd, again).columns == [*odd.columns, "score"]
+    # No row fits into the bytes: nothing is learned from, and every text scores alike.
+    assert len({r.score for r in toxicity.score(docs, toxicity.train(docs, labels, sample_bytes=0)).collect()}) == 1
+
+
+def test_toxicity_equals_the_definitions(spark):
+    rng = random.Random(5)
+    letters = "abcé"
+    word = lambda: "".join(rng.choices(letters, k=rng.randrange(1, 9)))
+    bad = [word() for _ in range(6)]
+    rows, marks = [], []
+    for i in range(60):
+        words = [word() for _ in range(rng.randrange(0, 20))]
+        toxic = i % 3 == 0
+        words += rng.choices(bad, k=4) if toxic else []
+        rng.shuffle(words)
+        rows.append((i, rng.choice([" ", "\n", "-- "]).join(words).upper()))
+        marks.append((i, int(toxic)))
+    rows += [(100, "OTHER words, 12 x9"), (101, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    labels = spark.createDataFrame(marks, "doc_id bigint, toxic int")
+    model = toxicity.train(docs, labels)
+    split = lambda text: brute.WORD.findall(brute.ascii_lower(text))
+    sides, corpus = ([], []), [w for _, text in rows for w in split(text)]
+    for (i, text), (_, toxic) in zip(rows, marks):
+        checksum = zlib.crc32(str(i).encode())
+        if checksum % 5 and checksum // 5 % 4:
+            sides[toxic].extend(split(text))
+    exact = brute.KneserNey(*sides, corpus)
+    for r in toxicity.measure(docs, model).collect():
+        assert r.measure == pytest.approx(exact.difference(split(r.text)), abs=1e-9)
