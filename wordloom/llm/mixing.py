@@ -119,7 +119,8 @@ def plan(measured: DataFrame, weights: Sequence[int], max_epochs: int) -> DataFr
         sums.withColumn("before", before)
         .alias("s")
         .join(wanted.alias("w"), F.col("s.source").eqNullSafe(F.col("w.source")))
-        .where("before <= rest and rest < before + size")
+        # Where nothing is left behind the epochs no document gets one more, not even an empty one.
+        .where("rest > 0 and before <= rest and rest < before + size")
         .select("s.source", "bucket", "before", "rest")
     )
     ends = written(ends, "mix-ends")
