@@ -34,14 +34,16 @@ def components(links: DataFrame) -> DataFrame:
     while mark[0]:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         nearest = both.groupBy("u").agg(F.min("v").alias("m"))
-        nearest = nearest.select("u", F.least("u", "m").alias("m"))
+        # Minima are written: their size is known then, and a join that shuffles both sides can
+        # be split where a node has very many links.
+        nearest = written(nearest.select("u", F.least("u", "m").alias("m")), "nearest")
         large = (
             both.join(nearest, "u")
             .where(F.col("v") > F.col("u"))
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
             .distinct()
         )
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         moved = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = moved.where(F.col("u") != F.col("v")).union(least).distinct()
         edges = written(small, "links")

@@ -6,9 +6,10 @@ stays; the lines that later occurrences cover are removed. Overlapping
 occurrences are merged before, so a passage of any length goes as a whole.
 
 First occurrences are grouped minima, combined before the shuffle: a window that a
-third of all texts hold is one row a task there. Only windows found more than once
-are joined back, and adaptive execution splits the rows of a frequent one. Texts
-are shuffled once, with the spans to take out of them.
+third of all texts hold is one row a task there. Those of windows found more than once
+are written, and joined back from there: the join has two shuffled sides, so adaptive
+execution can split the rows of a frequent window. Texts are shuffled once, with the
+spans to take out of them.
 
 Defined cases: a text of one or two lines is one window. Lines end at a line feed; a
 window without a character other than white space is not looked at. Where an
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from wordloom.functions.checks import at_least
 from wordloom.llm import spans
 from wordloom.llm.texts import kept_pieces, replacing, text_key, unused
+from wordloom.sources.scratch import written
 
 WINDOW = 3
 LINE_END = "\n"
@@ -73,6 +75,7 @@ def repeated(found: DataFrame) -> DataFrame:
         .where(F.col("n") > 1)
         .drop("n")
     )
+    first = written(first, "line-firsts")
     later = found.join(first, ["h1", "h2"]).where(place != F.col("first"))
     same = F.col("_id").eqNullSafe(F.col("first._id")) & (F.col("_key") == F.col("first._key"))
     start = F.when(same, F.greatest("start", F.col("first.stop"))).otherwise(F.col("start"))

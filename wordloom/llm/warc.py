@@ -43,7 +43,7 @@ from wordloom.sources.scratch import written
 
 REVISIT_BYTES = 1000
 FILE_BYTES = 1 << 30
-SPLIT_BYTES = 8 << 20
+SPLIT_BYTES = 128 << 20
 READ_BYTES = 1 << 18
 DATE = "1970-01-01T00:00:00Z"
 
