@@ -180,7 +180,7 @@ def mixed(docs):
         for key in sorted(units):
             before = upto
             upto += sum(len(SPACED.findall(docs[i][1] or "")) for i in units[key])
-            taken = upto <= rest or before < rest and upto - rest < rest - before
+            taken = rest > 0 and (upto <= rest or before < rest and upto - rest < rest - before)
             copies += [(i, epochs + taken) for i in units[key]]
     return [n for _, n in sorted(copies)]
 

@@ -83,11 +83,23 @@ def test_a_benchmark_too_large_to_broadcast_gives_the_same(docs, benchmark):
     small = decontamination.report(docs, benchmark)
     large = decontamination.report(docs, benchmark, max_broadcast=0)
     assert plain(small) == plain(large)
-    assert "BroadcastHashJoin [_hash" in small._jdf.queryExecution().executedPlan().toString()
+    windows, _ = decontamination.benchmark_windows(benchmark)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [_hash" in plan(decontamination.hits(docs, windows))
+    # What is sent to the tasks holds no items, whose number a window does not bound.
+    assert "item" not in plan(decontamination.hits(docs, windows))
+
+
+def test_a_window_of_very_many_items(spark):
+    shared = " ".join(f"w{i}" for i in range(12))
+    benchmark = spark.createDataFrame([(i, shared) for i in range(3000)], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, f"a b {shared} c"), (2, "none")], "doc_id bigint, text string")
+    got = {r.doc_id: (r.n_hit, len(r["items"])) for r in decontamination.report(docs, benchmark).collect()}
+    assert got == {1: (12, 3000), 2: (0, 0)}
 
 
 def test_hits_are_compared_word_by_word(docs, benchmark):
-    windows = decontamination.benchmark_windows(benchmark)
+    windows, _ = decontamination.benchmark_windows(benchmark)
     forged = windows.withColumn("gram", F.array(F.lit("other")))
     assert decontamination.hits(docs, forged).count() == 0
     assert decontamination.hits(docs, windows).count() > 0
@@ -100,6 +112,26 @@ def test_spans_are_merged(spark):
     assert got == {None: ([(0, 2), (5, 10)], 7), 1: ([(3, 4)], 1)}
 
 
+def test_many_equal_rows_have_equal_spans(spark):
+    rows = [(1, s, s + 2, w) for s in (0, 1, 7) for w in (5, 6)] * 50
+    table = spark.createDataFrame(rows, "k int, start int, stop int, w int")
+    found = spans.merged(table, ["k"], union="w").first()
+    assert ([tuple(s) for s in found.spans], found.covered, sorted(found.w)) == ([(0, 3), (7, 9)], 5, [5, 6])
+
+
+def test_no_text_is_taken_behind_the_last_epoch(spark):
+    """A small source that is cut off at three epochs, empty texts among its rows, and a large one."""
+    rows = [(0, "one two three four five six seven eight nine ten", "a")]
+    rows += [(i, "" if i % 2 else None, "a") for i in range(1, 30)]
+    rows += [(100 + i, "word " * 500, "b") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(3)
+    copies = {r.doc_id: r.copies for r in mixing.report(docs).collect()}
+    assert [copies[i] for i in range(30)] == [3] * 30
+    expected = brute.mixed(rows)
+    assert [copies[r[0]] for r in rows] == expected
+    assert mixing.mix(docs).count() == sum(expected)
+
+
 def test_token_store_of_odd_rows(spark, docs, empty):
     store = scratch_path(spark, "tokens")
     token_store.write_store(docs, store, catalog.TOKENIZER, shards=3)

@@ -6,9 +6,10 @@ window whose hash is found are compared, so a hash collision is no hit. The scan
 neither shuffles nor materialises the windows: they are positions in generated
 code until the lookup.
 
-The benchmark is small next to the corpus, yet it is not trusted to be: its
-windows are counted first, and a set above ``max_broadcast`` windows is joined by
-a shuffle on the hash instead of being sent to the tasks.
+The benchmark is small next to the corpus, yet it is not trusted to be: the bytes of
+its windows are counted first, and a set above ``max_broadcast`` bytes is joined by
+a shuffle on the hash instead of being sent to the tasks. Windows go by a number; the
+items that hold them are looked up once the hits of a document are merged.
 
 Only hits are shuffled, to merge overlapping ones per document. A document is
 told apart by its id and a hash of its text.
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 from wordloom.functions.checks import at_least
 from wordloom.llm import spans
 from wordloom.llm.texts import ascii_lower, kept_pieces, text_key, unused
+from wordloom.sources.scratch import written
 
 # Which characters form a word, before and after lower-casing.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -35,7 +37,8 @@ WORD_OF_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WORD_WITH_LEAD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*+" + WORD_OF_ANY_CASE
 
 WINDOW = 10
-MAX_BROADCAST_WINDOWS = 1_000_000
+MAX_BROADCAST_BYTES = 64 << 20
+WINDOW_BYTES = 64  # of a window in memory, beside its words
 DROP_SHARE = 0.5
 
 
@@ -46,27 +49,28 @@ def words(text: Column) -> Column:
 
 def benchmark_windows(
     benchmark: DataFrame, n: int = WINDOW, item: str = "item_id", text: str = "text"
-) -> DataFrame:
-    """``(hash, length, gram, items)``: each window once, with the items that hold it.
+) -> tuple[DataFrame, DataFrame]:
+    """``(window, hash, length, gram)``, each window once, and ``(window, item)``, who holds it.
 
     A window is ``n`` consecutive words. An item of fewer words, but not none, is
-    one window of its own length.
+    one window of its own length. Both tables are written.
     """
     at_least("n", n, 1)
-    split = benchmark.select(F.col(item).alias("_item"), words(F.col(text)).alias("_words"))
+    split = benchmark.select(F.col(item).alias("item"), words(F.col(text)).alias("_words"))
     size = F.size("_words")
     length = F.least(size, F.lit(n))
     starts = F.when(size > 0, F.sequence(F.lit(1), size - length + 1))
     found = split.select(
-        "_item", "_words", length.alias("length"), F.explode_outer(starts).alias("_start")
+        "item", "_words", length.alias("length"), F.explode_outer(starts).alias("_start")
     ).where(F.col("_start").isNotNull())
     gram = F.slice("_words", F.col("_start"), F.col("length"))
-    return (
-        found.select("length", gram.alias("gram"), "_item")
-        .groupBy("length", "gram")
-        .agg(F.collect_set("_item").alias("items"))
-        .select(F.xxhash64("gram").alias("hash"), "length", "gram", "items")
+    held = written(found.select("length", gram.alias("gram"), "item").distinct(), "benchmark-grams")
+    numbered = held.select("length", "gram").distinct().select(
+        F.monotonically_increasing_id().alias("window"), F.xxhash64("gram").alias("hash"), "length", "gram"
     )
+    windows = written(numbered, "benchmark-windows")
+    items = held.join(windows, ["length", "gram"]).where(F.col("item").isNotNull())
+    return windows, written(items.select("window", "item"), "benchmark-items")
 
 
 def hits(
@@ -74,13 +78,14 @@ def hits(
     windows: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
-    max_broadcast: int = MAX_BROADCAST_WINDOWS,
+    max_broadcast: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """``(_id, _key, start, stop, items)``: every occurrence of a window in a text.
+    """``(_id, _key, start, stop, window)``: every occurrence of a window in a text.
 
     Positions are words, counted from 0.
     """
-    counted = windows.groupBy("length").agg(F.count("*").alias("n")).collect()  # a row a length
+    taken = F.octet_length(F.array_join("gram", " ")) + 8 * F.col("length") + WINDOW_BYTES
+    counted = windows.groupBy("length").agg(F.sum(taken).alias("n")).collect()  # a row a length
     lengths = sorted(row["length"] for row in counted)
     broadcast = sum(row["n"] for row in counted) <= max_broadcast
     if broadcast:
@@ -119,7 +124,7 @@ def hits(
             "_key",
             (F.col("_start") - 1).alias("start"),
             (F.col("_start") + F.col("_length") - 1).alias("stop"),
-            "items",
+            "window",
         )
     )
 
@@ -127,17 +132,31 @@ def hits(
 def _with_hits(
     docs: DataFrame, found: DataFrame, doc_id: str, key: Column, spans_as: str
 ) -> DataFrame:
-    """``docs`` with ``spans_as``: spans, covered and items as a struct, null without a hit."""
+    """``docs`` with ``spans_as``, a struct of what ``found`` holds for a row, null for nothing.
+
+    ``found`` is ``(_id, _key, spans, covered)`` and what more there is.
+    """
     id_as, key_as = unused(docs.columns, "hit_id"), unused(docs.columns, "hit_key")
-    results = spans.merged(found, ["_id", "_key"], union="items").select(
+    results = found.select(
         F.col("_id").alias(id_as),
         F.col("_key").alias(key_as),
-        F.struct("spans", "covered", "items").alias(spans_as),
+        F.struct(*[c for c in found.columns if c not in ("_id", "_key")]).alias(spans_as),
     )
     same = F.col(f"`{doc_id}`").eqNullSafe(F.col(id_as)) & (key == F.col(key_as))
     return docs.join(results, same, "left").drop(id_as, key_as)
 
 
+def _merged_with_items(found: DataFrame, items: DataFrame) -> DataFrame:
+    """``(_id, _key, spans, covered, items)`` of hits; items are looked up for each window once."""
+    keys = ["_id", "_key"]
+    merged = written(spans.merged(found, keys, union="window"), "benchmark-hits")
+    held = merged.select(*keys, F.explode("window").alias("window")).join(items, "window")
+    listed = held.groupBy(*keys).agg(F.collect_set("item").alias("items"))
+    one, other = merged.alias("m"), listed.alias("l")
+    same = F.col("m._id").eqNullSafe(F.col("l._id")) & (F.col("m._key") == F.col("l._key"))
+    return one.join(other, same, "left").select("m._id", "m._key", "spans", "covered", "items")
+
+
 def report(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -145,14 +164,15 @@ def report(
     doc_id: str = "doc_id",
     text: str = "text",
     item: str = "item_id",
-    max_broadcast: int = MAX_BROADCAST_WINDOWS,
+    max_broadcast: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """``(doc_id, n_words, n_hit, items, spans)`` for every document.
 
     ``n_hit`` counts words inside any occurrence of a window, ``items`` lists the
     benchmark rows whose windows occur. No text is shuffled.
     """
-    found = hits(docs, benchmark_windows(benchmark, n, item, text), doc_id, text, max_broadcast)
+    windows, items = benchmark_windows(benchmark, n, item, text)
+    found = _merged_with_items(hits(docs, windows, doc_id, text, max_broadcast), items)
     n_words = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD_OF_ANY_CASE)), F.lit(0))
     measured = docs.select(
         F.col(doc_id).alias("doc_id"), text_key(F.col(text)).alias("_text_key"),
@@ -185,7 +205,7 @@ def decontaminate(
     doc_id: str = "doc_id",
     text: str = "text",
     item: str = "item_id",
-    max_broadcast: int = MAX_BROADCAST_WINDOWS,
+    max_broadcast: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """``docs`` without test passages, with the columns it has.
 
@@ -193,7 +213,8 @@ def decontaminate(
     ``drop_share`` of the words were hit is removed (0: every document with a hit,
     1: none). Texts without a hit stay as they are, byte for byte.
     """
-    found = hits(docs, benchmark_windows(benchmark, n, item, text), doc_id, text, max_broadcast)
+    windows, _ = benchmark_windows(benchmark, n, item, text)
+    found = spans.merged(hits(docs, windows, doc_id, text, max_broadcast), ["_id", "_key"])
     body = F.col(f"`{text}`")
     as_name = unused(docs.columns, "hit")
     joined = _with_hits(docs, found, doc_id, text_key(body), as_name)

@@ -13,10 +13,12 @@ def merged(ranges: DataFrame, keys: Sequence[str], union: str | None = None) ->
 
     Ranges that overlap or touch become one ``struct<start, stop>`` of the sorted
     array ``spans``; ``covered`` is the number of positions in them. ``union``
-    names an array column whose distinct elements are returned as well. There is
-    one shuffle, on the keys. What is collected for a key is what is left after
-    merging, so repeated and overlapping ranges add nothing.
+    names a column whose distinct values are returned as an array as well. Equal ranges are
+    made one, then there is one shuffle, on the keys. What is collected for a key is what is
+    left after merging, so repeated and overlapping ranges add nothing.
     """
+    # Equal ranges of many equal rows are one before those of a key meet.
+    ranges = ranges.select(*keys, "start", "stop", *[union] * (union is not None)).distinct()
     order = Window.partitionBy(*keys).orderBy("start", "stop")
     reached = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
     opened = F.when(reached.isNull() | (F.col("start") > reached), 1).otherwise(0)
@@ -29,6 +31,6 @@ def merged(ranges: DataFrame, keys: Sequence[str], union: str | None = None) ->
         F.sum(F.col("stop") - F.col("start")).cast("bigint").alias("covered"),
     ]
     if union is not None:
-        of_island.append(F.array_distinct(F.flatten(F.collect_set(union))).alias(union))
+        of_island.append(F.collect_set(union).alias(union))
         of_key.append(F.array_distinct(F.flatten(F.collect_set(union))).alias(union))
     return islands.groupBy(*keys, "_island").agg(*of_island).groupBy(*keys).agg(*of_key)
