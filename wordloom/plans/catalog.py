@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.functions.tokens import normalized
-from wordloom.operators import counts, expand, profile, ranking, recap, stripes
+from wordloom.operators import codes, counts, expand, profile, ranking, recap, stripes
 from wordloom.sources.buckets import write_buckets
 from wordloom.sources.lines import lines_of, read_lines
 from wordloom.sources.scratch import scratch_path
@@ -64,6 +64,12 @@ def ngram_pairs(spark, folder, n, table="documents", column="text", partitions=N
     return counts.ngram_counts(lines, n)
 
 
+def coded_ngram_pairs(spark, folder, n, partitions=None):
+    """As :func:`ngram_pairs`, counted by coded keys; the dictionary is made when called."""
+    lines = _lines(spark, folder, partitions=partitions)
+    return codes.ngram_counts(lines, n, codes.dictionary_of(lines))
+
+
 def cooccurrence_pairs(spark, folder, partitions=None):
     return counts.pair_counts(_lines(spark, folder, partitions=partitions))
 
@@ -336,6 +342,8 @@ def text_queries() -> dict[str, Query]:
     }
     for n in (2, 3, 5, 10):
         texts[f"ngram_pairs_{n}"] = partial(ngram_pairs, n=n)
+    for n in (5, 10):
+        texts[f"ngram_pairs_{n}_coded"] = partial(coded_ngram_pairs, n=n)
     for n in (3, 5, 10):
         texts[f"ngram_head_tail_{n}"] = partial(ngram_head_tail, n=n)
         texts[f"ngram_stripes_{n}"] = partial(ngram_stripes, n=n)

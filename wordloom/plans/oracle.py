@@ -239,6 +239,8 @@ def oracle_sql() -> dict[str, str]:
     }
     for n in (2, 3, 5, 10):
         found[f"ngram_pairs_{n}"] = _ngram_count(n)
+    for n in (5, 10):
+        found[f"ngram_pairs_{n}_coded"] = _ngram_count(n)
     for n in (3, 5, 10):
         found[f"ngram_head_tail_{n}"] = f"""WITH {_grams(n)}
             SELECT id AS doc_id, line_no, head, tail FROM grams"""
