@@ -139,3 +139,44 @@ def test_pipeline(spark, docs):
     result = corpus_pipeline.run(spark, FOLDER)
     assert sorted(map(tuple, result.collect())) == brute.packed([r[:2] for r in kept], tokenizer)
     assert len(corpus_pipeline.STAGES) == 5 and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_pipeline_of_odd_and_empty_tables(spark, tmp_path):
+    """All stages as a chain: nulls, empty and long texts, repeated rows, columns of clashing names."""
+    clean = " ".join(f"alpha{i}" for i in range(200))
+    passage = " ".join(f"q{i}" for i in range(14))
+    rows = [
+        (3, clean, "en", "a", 1, "x", 7),
+        (3, clean, "en", "a", 1, "x", 7),
+        (1, clean.upper(), None, None, 1, None, 7),
+        (None, clean.replace("alpha", "beta"), "en", "b", 1, "x", None),
+        (4, clean.replace("alpha", "gamma") + " " + passage, "en", "b", 1, "x", 7),
+        (5, None, "en", "b", 1, "x", 7),
+        (6, "", "en", "b", 1, "x", 7),
+        (7, "too short", "en", "b", 1, "x", 7),
+        (8, " ".join(f"w{i}x" for i in range(30_000)), "en", "c", 1, "x", 7),
+    ]
+    names = "doc_id bigint, text string, lang string, source string, n_chars bigint, hit string, key int"
+    folder = str(tmp_path / "odd")
+    docs = spark.createDataFrame(rows, names)
+    docs.write.parquet(f"{folder}/documents.parquet")
+    items = spark.createDataFrame([(1, passage), (None, None), (2, "")], "item_id bigint, text string")
+    items.write.parquet(f"{folder}/benchmark.parquet")
+    table = spark.read.parquet(f"{folder}/documents.parquet")
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        table = stage(spark, table, folder)
+        assert table.columns == docs.columns, name
+        kept[name] = [tuple(r) for r in table.collect()]
+    ids = {name: sorted((r[0] is None, r[0] or 0) for r in found) for name, found in kept.items()}
+    assert [i for _, i in ids["quality rules"] if i] == [1, 3, 3, 4, 8]
+    assert [i for _, i in ids["near duplicates"] if i] == [1, 4, 8]
+    texts = {r[0]: r[1] for r in kept["decontamination"]}
+    assert texts[1] == rows[2][1] and "q3" not in texts[4] and texts[4].startswith("gamma0 gamma1 ")
+    last = corpus_pipeline.run(spark, folder).collect()
+    assert len(last) == len(kept["mixing"]) and {r.doc_id for r in last} == {r[0] for r in kept["mixing"]}
+    for label, empty in (("none", docs.limit(0)), ("short", docs.where("doc_id > 4 and doc_id < 8"))):
+        folder = str(tmp_path / label)
+        empty.write.parquet(f"{folder}/documents.parquet")
+        items.write.parquet(f"{folder}/benchmark.parquet")
+        assert corpus_pipeline.run(spark, folder).collect() == []
