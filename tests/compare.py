@@ -42,7 +42,7 @@ def difference(got: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> str
     for name in mine.columns:
         if mine[name].dtype != theirs[name].dtype:
             return f"type of {name}: {mine[name].dtype} and {theirs[name].dtype}"
-        unequal = mine[name] != theirs[name]
+        unequal = (mine[name] != theirs[name]) & ~(mine[name].isna() & theirs[name].isna())
         if unequal.any():
             at = unequal.idxmax()
             return f"{name}: {mine.loc[at].to_dict()} and {theirs.loc[at].to_dict()}"
