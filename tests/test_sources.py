@@ -170,6 +170,17 @@ def test_one_machine_folder_is_refused_on_a_cluster(spark, monkeypatch):
         scratch.scratch_path(spark, "x")
 
 
+def test_a_mounted_folder_is_taken_on_a_standalone_cluster(spark, monkeypatch):
+    get = type(spark.conf).get
+    said = {"spark.checkpoint.dir": "file:/mnt/shared/"}
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, k, *d: said.get(k) or get(self, k, *d))
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    assert scratch.scratch_path(spark, "x").startswith("file:/mnt/shared/x-")
+    monkeypatch.setattr(spark.sparkContext, "master", "yarn")
+    with pytest.raises(ValueError, match="executors share"):
+        scratch.scratch_path(spark, "x")
+
+
 def test_written_rows_come_from_files(spark):
     table = scratch.written(spark.range(5), "ids")
     assert sorted(r.id for r in table.collect()) == [0, 1, 2, 3, 4]
