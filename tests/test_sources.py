@@ -5,7 +5,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from wordloom.operators import counts, stripes
-from wordloom.sources import scratch
+from wordloom.plans import catalog
+from wordloom.sources import scratch, tables
 from wordloom.sources.lines import lines_of, read_lines
 from wordloom.sources.series import read_two_series
 from wordloom.sources.tables import read_table
@@ -181,6 +182,17 @@ def test_a_mounted_folder_is_taken_on_a_standalone_cluster(spark, monkeypatch):
         scratch.scratch_path(spark, "x")
 
 
+def test_splits_are_made_smaller_but_not_larger(spark, tmp_path):
+    name = "spark.sql.files.maxPartitionBytes"
+    try:
+        for before, after in (("128m", tables.SPLIT_BYTES), ("2m", 2 << 20), (str(20 << 20), tables.SPLIT_BYTES)):
+            spark.conf.set(name, before)
+            catalog.gram_totals(spark, "/root/testdata/sf0.001", 3)
+            assert spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name)) == after
+    finally:
+        spark.conf.unset(name)
+
+
 def test_written_rows_come_from_files(spark):
     table = scratch.written(spark.range(5), "ids")
     assert sorted(r.id for r in table.collect()) == [0, 1, 2, 3, 4]
