@@ -92,6 +92,14 @@ def test_stripes_share_one_count_whatever_the_join(spark, threshold, join):
     assert text.count("FileScan") == 1
 
 
+@pytest.mark.parametrize("n", [2, 10])
+def test_the_entries_of_stripes_are_not_moved_to_find_the_large_heads(spark, n):
+    """Known before the run: a shuffle that has run cannot be taken back."""
+    text = planned(catalog.ngram_stripes(spark, FOLDER, n, 200))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    assert "hashpartitioning(hash" not in text.split("BroadcastHashJoin")[1].split("BroadcastExchange")[0]
+
+
 @pytest.mark.parametrize("name", ["line_stripes", "line_stripes_3", "word_count_by_document"])
 def test_counts_inside_a_row_move_nothing(spark, name):
     text = planned(catalog.queries()[name](spark, FOLDER, partitions=None))
