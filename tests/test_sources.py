@@ -182,6 +182,25 @@ def test_a_mounted_folder_is_taken_on_a_standalone_cluster(spark, monkeypatch):
         scratch.scratch_path(spark, "x")
 
 
+@pytest.mark.parametrize("master", ["spark://host:7077", "k8s://https://host:443"])
+def test_a_named_warehouse_is_taken_on_a_cluster_and_the_default_is_not(spark, monkeypatch, master):
+    get = type(spark.conf).get
+    said = {"spark.checkpoint.dir": None, "spark.sql.warehouse.dir": "file:/mnt/tables"}
+    monkeypatch.setattr(
+        type(spark.conf), "get", lambda self, k, *d: said[k] if k in said else get(self, k, *d)
+    )
+    conf = type("Conf", (), {"get": lambda self, k: None})()
+    monkeypatch.setattr(spark.sparkContext, "getConf", lambda: conf)
+    monkeypatch.setattr(spark.sparkContext, "getCheckpointDir", lambda: None)
+    monkeypatch.setattr(spark.sparkContext, "master", master)
+    assert scratch.scratch_path(spark, "x").startswith("file:/mnt/tables/x-")
+    said["spark.sql.warehouse.dir"] = "file:/home/spark-warehouse"
+    with pytest.raises(ValueError, match="executors share"):
+        scratch.scratch_path(spark, "x")
+    said["spark.checkpoint.dir"] = "file:/mnt/shared"
+    assert scratch.scratch_path(spark, "x").startswith("file:/mnt/shared/x-")
+
+
 def test_splits_are_made_smaller_but_not_larger(spark, tmp_path):
     name = "spark.sql.files.maxPartitionBytes"
     try:
