@@ -65,3 +65,30 @@ def test_keys_are_shorter(frame):
     plain = lines.select(F.array_join(tokens.words(F.col("line")), ",").alias("k"))
     size = lambda df: df.agg(F.sum(F.octet_length("k"))).first()[0]
     assert size(coded) < 0.6 * size(plain)
+
+
+def test_pieces_hold_each_window_once_and_equal_windows_have_one_key(frame):
+    lines = text_lines(9, 200)
+    known = codes.dictionary_of(frame(lines), size=20)
+    words = frame(lines).select(F.explode(F.array(tokens.words(F.col("line")))).alias("w"))
+    coded = words.select(F.explode(F.array(codes.encoded(F.col("w"), known))).alias("c"))
+    found = coded.select(F.explode(codes.pieces(F.col("c"), 5)).alias("p")).select(
+        "p.key", codes.decoded_words(F.col("p.piece"), known).alias("words")
+    )
+    got, keys, moved = {}, {}, 0
+    for row in found.collect():
+        moved += len(row.words)
+        for i in range(len(row.words) - 4):
+            gram = ",".join(row.words[i : i + 5])
+            got[gram] = got.get(gram, 0) + 1
+            assert keys.setdefault(gram, row.key) == row.key
+    assert got == brute.gram_counts(lines, 5)
+    assert moved < 0.75 * 5 * sum(got.values())
+
+
+def test_pieces_are_moved_once(frame):
+    lines = frame(text_lines(4, 50))
+    found = codes.ngram_counts(lines, 10, codes.dictionary_of(lines))
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1
+    assert "partial_count(1)" not in text.split("Exchange hashpartitioning")[1]
