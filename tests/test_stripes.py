@@ -93,6 +93,32 @@ def test_line_stripes(frame, n):
     assert len(rows) == len(got)
 
 
+def test_line_stripes_of_a_long_line_with_words_that_begin_alike(frame):
+    """Words sort around the comma; one head has more entries than a thread's stack has frames."""
+    words = ["a", "a'b", "a-b", "ab", "a1", "é", "𐐨", "日本"]
+    rng = random.Random(11)
+    lines = [" ".join(rng.choices(words, k=300)) for _ in range(20)]
+    lines += [" ".join(f"a t{i}" for i in range(40_000)), " ".join(["a"] * 50_000)]
+    for n in (2, 4):
+        got = {}
+        for row in stripes.line_stripes(frame(lines), n, "id").collect():
+            entries = [e.rsplit(":", 1) for e in row.stripe.split(", ")]
+            assert [t for t, _ in entries] == sorted((t for t, _ in entries), key=str.encode)
+            assert (row.id, row.head) not in got
+            got[row.id, row.head] = {t: int(k) for t, k in entries}
+        assert got == {
+            (i, head): found
+            for i, line in enumerate(lines)
+            for head, found in brute.stripe_counts([line], n).items()
+        }
+
+
+def test_line_stripes_take_few_steps_a_word(frame):
+    """One function of each n-gram and one of each entry: what runs outside generated code."""
+    plan = stripes.line_stripes(frame(["a b"]), 2, "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lambdafunction(") == 2
+
+
 def test_sums_and_sizes_match_the_pairs(frame, texts):
     lines = frame(texts)
     entries = counts.head_tail_counts(lines, 3)
