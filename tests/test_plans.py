@@ -100,6 +100,13 @@ def test_the_entries_of_stripes_are_not_moved_to_find_the_large_heads(spark, n):
     assert "hashpartitioning(hash" not in text.split("BroadcastHashJoin")[1].split("BroadcastExchange")[0]
 
 
+@pytest.mark.parametrize("n", [2, 3])
+def test_the_entries_of_stripes_are_counted_as_one_text(spark, n):
+    text = planned(catalog.head_tail_counts(spark, FOLDER, n))
+    shuffles = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text)
+    assert len(shuffles) == 1 and shuffles[0].startswith("gram#")
+
+
 @pytest.mark.parametrize("name", ["line_stripes", "line_stripes_3", "word_count_by_document"])
 def test_counts_inside_a_row_move_nothing(spark, name):
     text = planned(catalog.queries()[name](spark, FOLDER, partitions=None))
