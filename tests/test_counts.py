@@ -110,6 +110,14 @@ def test_gram_totals(frame, n):
     assert tuple(got) == (len(texts), sum(found.values()), len(found))
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 10])
+def test_totals_of_repeated_blank_and_null_lines(frame, n):
+    texts = random_lines(40 + n) * 3 + ["", "", " . ", None, "one", "one", "z " * 30, "z " * 30, "z y " * 9]
+    found = brute.gram_counts([x for x in texts if x is not None], n)
+    got = profile.gram_totals(frame(texts), n).first()
+    assert tuple(got) == (len(texts) - 1, sum(found.values()), len(found))
+
+
 def test_totals_of_worked_example(frame):
     got = [profile.gram_totals(frame(EXAMPLE), n).first() for n in (1, 2, 3)]
     assert [r.grams for r in got] == [5, 3, 1]

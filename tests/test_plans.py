@@ -120,6 +120,21 @@ def test_totals_read_the_lines_once(spark):
     assert text.count(WORD) == 1
 
 
+@pytest.mark.parametrize("name", ["gram_totals_3", "gram_totals_10"])
+def test_totals_of_ngrams_are_not_counted_before_they_are_moved(spark, name):
+    """A first count in the task that reads a large row group is spilled as a whole."""
+    text = plan(spark, name)
+    shuffles = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text)
+    assert len(shuffles) == 1 and re.match(r"a#\w+, b#", shuffles[0])
+    assert "Aggregate" not in text.rsplit("Exchange hashpartitioning", 1)[1]
+
+
+def test_totals_of_words_are_counted_before_they_are_moved(spark):
+    text = plan(spark, "gram_totals_1")
+    assert len(re.findall("Exchange hashpartitioning", text)) == 1
+    assert "partial_count(1)" in text.rsplit("Exchange hashpartitioning", 1)[1]
+
+
 def test_rankings_run_as_distributed_top_k(spark):
     for name in ("top_words", "bottom_words"):
         assert "TakeOrderedAndProject" in plan(spark, name)
