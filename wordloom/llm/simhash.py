@@ -201,10 +201,9 @@ def keep_one(
     named = prints.join(components_of(prints, radius), "fingerprint").where(
         F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
-    rows = named.groupBy("root", "doc_id", "key").agg(F.count("*").alias("n"))
-    first = F.min_by(F.struct("doc_id", "n"), "key")
+    first = F.min_by(F.struct("doc_id"), "key")
     chosen = written(
-        rows.groupBy("root").agg(F.min("key").alias("key"), first.alias("row")), "kept"
+        named.groupBy("root").agg(F.min("key").alias("key"), first.alias("row")), "kept"
     )
     return kept_rows(docs, chosen, doc_id, text)
 
@@ -212,12 +211,10 @@ def keep_one(
 def kept_rows(docs: DataFrame, chosen: DataFrame, doc_id: str, text: str) -> DataFrame:
     """The rows of ``docs`` that ``chosen`` names by ``row.doc_id`` and ``key``, each once.
 
-    ``row.n`` is how many rows of ``docs`` have that id and text.
+    Repeated rows are looked for in every table, whether or not it has any.
     """
     id_as, key_as = unused(docs.columns, "kept_id"), unused(docs.columns, "kept_key")
     wanted = chosen.select(F.col("row.doc_id").alias(id_as), F.col("key").alias(key_as))
     same = F.col(f"`{doc_id}`").eqNullSafe(F.col(id_as))
     kept = docs.join(wanted, same & (text_key(F.col(f"`{text}`")) == F.col(key_as)), "left_semi")
-    if chosen.where(F.col("row.n") > 1).isEmpty():
-        return kept
     return kept.dropDuplicates([doc_id, text])
